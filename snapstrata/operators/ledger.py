@@ -27,11 +27,13 @@ def pending_batch(ledger: DataFrame, size: int = DISPATCH_BATCH) -> DataFrame:
 
 
 def recent_scrapes(ledger: DataFrame, size: int = AUDIT_LIMIT) -> DataFrame:
-    """Newest scrapes first. ``id`` ends the order so that the cut is total."""
-    order = [
-        F.col("last_scraped").desc_nulls_last(),
-        "event_id", "map_id", "map_name", "region_abbr", "agent", "id",
-    ]
+    """Newest scrapes first, nulls placed as the ledger's database places them.
+
+    ``id`` ends the order so that the cut is total.
+    """
+    order = [F.col("last_scraped").desc_nulls_first()]
+    for c in ("event_id", "map_id", "map_name", "region_abbr", "agent", "id"):
+        order.append(F.col(c).asc_nulls_last())
     return completed_date_projection(scraped_partitions(ledger)).orderBy(*order).limit(size)
 
 
