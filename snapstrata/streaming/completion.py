@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from snapstrata.functions.messages import decode_message
+from snapstrata.functions.messages import base64_line, decode_message
 from snapstrata.operators.ledger import mark_scraped_bulk, mark_scraped_guarded
 from snapstrata.schemas import ENVELOPE_SCHEMA
 
@@ -53,7 +53,7 @@ def message_topic(
     )
     return raw.select(
         F.concat_ws("-", "topic", "partition", "offset").alias("ack_id"),
-        F.struct(F.base64("value").alias("data")).alias("message"),
+        F.struct(base64_line(F.col("value")).alias("data")).alias("message"),
     )
 
 

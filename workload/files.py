@@ -21,7 +21,8 @@ from workload.views import LAKE, LEDGER, LISTING, lake_rows, ledger, run
 
 WITH_LAKE = f"WITH bronze AS ({LAKE})"
 WITH_LAKE_SILVER = f"{WITH_LAKE}, dedup AS ({DEDUP}), silver AS ({SILVER})"
-COLUMNS = ", ".join(BRONZE_FIELDS + PARTITION_COLUMNS)
+# CSV does not tell an empty text from a missing one.
+AS_READ = "* REPLACE (nullif(headshot_percentage, '') AS headshot_percentage)"
 FOLDER = """'event_id=' || CAST(event_id AS VARCHAR) || '/region=' || region || '/map=' || map
   || '/agent=' || agent || '/snapshot_date=' || CAST(snapshot_date AS VARCHAR)"""
 
@@ -40,14 +41,14 @@ def bronze_lake(spark: SparkSession, sf_dir: str) -> str:
 
 @query(
     "scan_bronze_snapshot",
-    f"{WITH_LAKE} SELECT {COLUMNS} FROM bronze WHERE snapshot_date = DATE '1998-01-01'",
+    f"{WITH_LAKE} SELECT {AS_READ} FROM bronze WHERE snapshot_date = DATE '1998-01-01'",
 )
 def _(spark, sf_dir):
     rows = lake.read_bronze(spark, bronze_lake(spark, sf_dir), "1998-01-01")
     return rows.select(*BRONZE_FIELDS, *PARTITION_COLUMNS)
 
 
-@query("infer_schema", f"{WITH_LAKE} SELECT {COLUMNS} FROM bronze")
+@query("infer_schema", f"{WITH_LAKE} SELECT {AS_READ} FROM bronze")
 def _(spark, sf_dir):
     rows = lake.read_bronze(spark, bronze_lake(spark, sf_dir), infer_schema=True)
     return rows.select(*BRONZE_FIELDS, *PARTITION_COLUMNS)
@@ -84,12 +85,11 @@ def _(spark, sf_dir):
     return listing.partition_listing(files.where(F.col("length") > 0))
 
 
-def _other_kills(condition: str) -> str:
-    changed = f"CASE WHEN {condition} THEN kills + 1 ELSE kills END AS kills"
-    return f"{WITH_LAKE} SELECT * REPLACE ({changed}) FROM bronze"
-
-
-@query("bronze_csv_sink", _other_kills("event_id = 1"))
+@query(
+    "bronze_csv_sink",
+    f"""{WITH_LAKE} SELECT * REPLACE (nullif(headshot_percentage, '') AS headshot_percentage,
+    CASE WHEN event_id = 1 THEN kills + 1 ELSE kills END AS kills) FROM bronze""",
+)
 def _(spark, sf_dir):
     """A second write replaces the partitions it brings and leaves the others."""
     path = f"{scratch_dir(spark, 'csv')}/bronze"

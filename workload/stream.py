@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstrata.functions.messages import decode_message, encode_completion
+from snapstrata.functions.messages import base64_line, decode_message, encode_completion
 from snapstrata.session import scratch_dir
 from snapstrata.streaming import completion as C
 from workload.registry import query
@@ -25,7 +25,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as the transport delivers them, with the event they came from."""
     bodies = run(spark, sf_dir, MESSAGE_BODIES)
     data = F.when(F.col("kind") == "not base64", F.lit("!not base64!")).otherwise(
-        F.base64(F.encode("body", "UTF-8"))
+        base64_line(F.encode("body", "UTF-8"))
     )
     return bodies.select("event_id", "ack_id", F.struct(data.alias("data")).alias("message"))
 
