@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -43,3 +43,13 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"snapstrata-{label}-")
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Give work that is heavy per byte all cores when its input has fewer splits.
+
+    A compact file of few megabytes is a single split. An input that already
+    fills the cluster is left alone: no shuffle is added to it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
