@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -39,3 +40,17 @@ def observe_nulls(df: DataFrame, observation: Observation) -> DataFrame:
     """Row and null counts of a table while it is written; no extra pass."""
     nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *nulls)
+
+
+def observed_counts(observation: Observation) -> dict[str, int]:
+    """Counts of a finished action; empty when no row came by.
+
+    Adaptive execution plans an empty input away, observation included, and
+    then there is no result row to convert.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError as error:
+        if "assertion failed" in str(error.java_exception):
+            return {}
+        raise

@@ -8,7 +8,7 @@ import logging
 from pyspark.sql import Observation, SparkSession
 
 from snapstrata.operators.cleaning import silver_transform
-from snapstrata.operators.metrics import observe_nulls, observe_rows
+from snapstrata.operators.metrics import observe_nulls, observe_rows, observed_counts
 from snapstrata.schemas import PIPELINE_VERSION
 from snapstrata.sources.lake import read_bronze, write_silver
 
@@ -35,8 +35,9 @@ def refresh_silver(
     )
     write_silver(observe_nulls(silver, written), silver_path)
 
-    counts = {"rows_read": read.get["rows"], "rows_written": written.get["rows"]}
-    nulls = {c: n for c, n in written.get.items() if c != "rows" and n > 0}
+    before, after = observed_counts(read), observed_counts(written)
+    counts = {"rows_read": before.get("rows", 0), "rows_written": after.get("rows", 0)}
+    nulls = {c: n for c, n in after.items() if c != "rows" and n > 0}
     log.info("snapshot %s: %s", snapshot_date, counts)
     for column, count in nulls.items():
         log.warning("nulls in %s: %d", column, count)
