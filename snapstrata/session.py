@@ -45,11 +45,11 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     return tempfile.mkdtemp(prefix=f"snapstrata-{label}-")
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
+def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
     """Give work that is heavy per byte all cores when its input has fewer splits.
 
-    A compact file of few megabytes is a single split. An input that already
-    fills the cluster is left alone: no shuffle is added to it.
+    A compact file of few megabytes is a single split; it is spread by ``keys``.
+    An input that already fills the cluster is left alone: no shuffle is added.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -128,17 +128,26 @@ def read_outcomes(spark: SparkSession, outcomes_path: str) -> DataFrame:
     return spark.read.schema(OUTCOME_SCHEMA).parquet(outcomes_path)
 
 
-def outcome_marks(outcomes: DataFrame) -> DataFrame:
-    """``row_id, marked_at`` of the successes; reads the success folders only."""
-    return outcomes.where(F.col("outcome") == SUCCESS).select(
-        "row_id", F.col("received_at").alias("marked_at")
-    )
+def outcome_marks(outcomes: DataFrame, after_batch: int | None = None) -> DataFrame:
+    """``row_id, marked_at`` of the successes; reads the success folders only.
+
+    ``after_batch`` leaves out batches that a compacted ledger already holds.
+    """
+    marks = outcomes.where(F.col("outcome") == SUCCESS)
+    if after_batch is not None:
+        marks = marks.where(F.col("batch_id") > after_batch)
+    return marks.select("row_id", F.col("received_at").alias("marked_at"))
 
 
-def current_ledger(ledger: DataFrame, outcomes: DataFrame, guarded: bool = False) -> DataFrame:
-    """The ledger with all stored marks applied. Write it out to compact the marks."""
+def current_ledger(
+    ledger: DataFrame,
+    outcomes: DataFrame,
+    guarded: bool = False,
+    after_batch: int | None = None,
+) -> DataFrame:
+    """The ledger with stored marks applied. Written as a new version, it compacts them."""
     mark = mark_scraped_guarded if guarded else mark_scraped_bulk
-    return mark(ledger, outcome_marks(outcomes)).drop("changed")
+    return mark(ledger, outcome_marks(outcomes, after_batch)).drop("changed")
 
 
 def dead_letters(failures: DataFrame, threshold: int = MAX_FAILURES) -> DataFrame:

@@ -93,6 +93,7 @@ def test_apply_resumes_and_replays_change_nothing(spark, feed, tmp_path):
     outcomes = apply(spark, feed, tmp_path)
     after = C.current_ledger(ledger(spark), outcomes)
     assert marked(after) == {1, 2, 4} and after.count() == 5
+    assert marked(C.current_ledger(ledger(spark), outcomes, after_batch=1)) == {1, 2}
     assert outcomes.count() == 7
     assert {r.batch_id for r in outcomes.select("batch_id").collect()} == {0, 1, 2}
 
