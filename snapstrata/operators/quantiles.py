@@ -9,7 +9,7 @@ result does not depend on them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 64
@@ -40,59 +40,65 @@ def exact_quantiles(
         .select("_k", "_m", "_r", "_v", "_n")
     )
 
-    # At most RANGES rows per group from here on.
+    # At most RANGES rows per group from here on, each with the ranks that fall into it.
     by_range = Window.partitionBy("_k", "_m").orderBy("_r")
     whole = Window.partitionBy("_k", "_m")
-    ranges = (
-        ranged.groupBy("_k", "_m", "_r")
-        .agg(F.sum("_n").alias("_w"))
-        .withColumns(
-            {
-                "_before": F.sum("_w").over(by_range) - F.col("_w"),
-                "_total": F.sum("_w").over(whole),
-            }
-        )
-    )
-    wanted = (
-        ranges.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("_pos", F.col("_p") * (F.col("_total") - 1))
-        .withColumn("_rank", F.explode(F.array(F.floor("_pos"), F.ceil("_pos"))))
-        .where(
-            (F.col("_rank") >= F.col("_before"))
-            & (F.col("_rank") < F.col("_before") + F.col("_w"))
-        )
-        .select(
-            F.col("_k").alias("_wk"), F.col("_m").alias("_wm"), F.col("_r").alias("_wr"),
-            "_p", "_pos", "_rank", "_before",
-        )
-        .distinct()
+    totals = ranged.groupBy("_k", "_m", "_r").agg(F.sum("_n").alias("_w"))
+    totals = totals.withColumns(
+        {
+            "_before": F.sum("_w").over(by_range) - F.col("_w"),
+            "_total": F.sum("_w").over(whole),
+        }
     )
+    edges = []
+    for number, p in enumerate(probabilities):
+        position = F.lit(float(p)) * (F.col("_total") - 1)
+        for edge, rank in (("low", F.floor(position)), ("high", F.ceil(position))):
+            edges.append(
+                F.struct(
+                    F.lit(number).alias("p"), F.lit(edge).alias("edge"), rank.alias("rank"),
+                    (position - F.floor(position)).alias("share"),
+                )
+            )
+    before, weight = F.col("_before"), F.col("_w")
+    wanted = totals.select(
+        F.col("_k").alias("_wk"), F.col("_m").alias("_wm"), F.col("_r").alias("_wr"), "_before",
+        F.filter(
+            F.array(*edges), lambda e: (e["rank"] >= before) & (e["rank"] < before + weight)
+        ).alias("_wants"),
+    ).where(F.size("_wants") > 0)
 
     # Only the ranges that hold a wanted rank are sorted, each on its own.
-    within = Window.partitionBy("_k", "_m", "_r").orderBy("_v")
-    needed = wanted.select("_wk", "_wm", "_wr").distinct()
     same_range = (
-        F.col("_k").eqNullSafe(F.col("_wk"))
-        & (F.col("_m") == F.col("_wm"))
-        & (F.col("_r") == F.col("_wr"))
+        ranged["_k"].eqNullSafe(F.col("_wk"))
+        & (ranged["_m"] == F.col("_wm"))
+        & (ranged["_r"] == F.col("_wr"))
     )
-    sorted_values = ranged.join(needed, same_range, "left_semi").withColumn(
-        "_upto", F.sum("_n").over(within)
-    )
-    local = F.col("_rank") - F.col("_before")
-    hits = sorted_values.join(wanted, same_range).where(
-        (local < F.col("_upto")) & (local >= F.col("_upto") - F.col("_n"))
+    within = Window.partitionBy("_k", "_m", "_r").orderBy("_v")
+    upto = F.col("_before") + F.col("_upto")
+    hits = (
+        ranged.join(wanted, same_range)
+        .withColumn("_upto", F.sum("_n").over(within))
+        .select(
+            "_k", "_m", "_v",
+            F.explode(
+                F.filter(
+                    "_wants", lambda e: (e["rank"] < upto) & (e["rank"] >= upto - F.col("_n"))
+                )
+            ).alias("_e"),
+        )
     )
-    below = F.max(F.when(F.col("_rank") == F.floor("_pos"), F.col("_v")))
-    above = F.max(F.when(F.col("_rank") == F.ceil("_pos"), F.col("_v")))
-    share = F.max(F.col("_pos") - F.floor("_pos"))
-    quantiles = hits.groupBy("_k", "_m", "_p").agg((below + (above - below) * share).alias("_q"))
 
-    outputs = [
-        F.max(F.when((F.col("_m") == c) & (F.col("_p") == float(p)), F.col("_q"))).alias(
-            f"{c}_p{round(p * 100):02d}"
-        )
-        for c in columns
-        for p in probabilities
-    ]
-    return quantiles.groupBy(F.col("_k").alias(key)).agg(*outputs)
+    def value(column: str, number: int, edge: str) -> Column:
+        here = (F.col("_m") == column) & (F.col("_e.p") == number) & (F.col("_e.edge") == edge)
+        return F.max(F.when(here, F.col("_v")))
+
+    outputs = []
+    for column in columns:
+        for number, p in enumerate(probabilities):
+            low, high = value(column, number, "low"), value(column, number, "high")
+            share = F.max(
+                F.when((F.col("_m") == column) & (F.col("_e.p") == number), F.col("_e.share"))
+            )
+            outputs.append((low + (high - low) * share).alias(f"{column}_p{round(p * 100):02d}"))
+    return hits.groupBy(F.col("_k").alias(key)).agg(*outputs)
