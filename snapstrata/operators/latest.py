@@ -7,19 +7,32 @@ third of the table costs the reducer one row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from snapstrata.schemas import ENTITY_KEY, NATURAL_KEY
 
 _RANK = "_rn"
+_HASH = "_key_hash"
 # One value per run, or rewritten by the job: says nothing about which row is newer.
 _NOT_ORDERING = {"_ingested_at", "_pipeline_version"}
 
 
+def keyed(df: DataFrame, key: list[str]) -> tuple[DataFrame, WindowSpec]:
+    """The rows with a hash of the key, and a window partitioned by hash and key.
+
+    The groups are those of the key alone. The sort compares the first eight
+    bytes before anything else; a hash there tells nearly all keys apart,
+    where a leading column with few values would not.
+    """
+    hashed = df.withColumn(_HASH, F.xxhash64(*key))
+    return hashed, Window.partitionBy(_HASH, *key)
+
+
 def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    window = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
+    hashed, window = keyed(df, key)
+    ranked = hashed.withColumn(_RANK, F.row_number().over(window.orderBy(*order)))
+    return ranked.where(F.col(_RANK) == 1).drop(_RANK, _HASH)
 
 
 def tie_break(df: DataFrame, key: list[str]) -> list[Column]:

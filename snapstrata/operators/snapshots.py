@@ -7,26 +7,25 @@ snapshots taken, however many rows an event, a map or a player has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapstrata.operators.latest import keyed
 from snapstrata.schemas import CUMULATIVE_COLUMNS, ENTITY_KEY
 
 TREND_COLUMNS = ["rounds_played", "kills", "deaths", "assists", "rating", "average_combat_score"]
 
 
-def _previous(column: str) -> Column:
-    return F.lag(column).over(Window.partitionBy(*ENTITY_KEY).orderBy("snapshot_date"))
-
-
 def snapshot_trend(silver: DataFrame, columns: list[str] = TREND_COLUMNS) -> DataFrame:
     """Change of each measure since the entity's previous snapshot, null at the first."""
-    return silver.select(
+    hashed, window = keyed(silver, ENTITY_KEY)
+    series = window.orderBy("snapshot_date")
+    return hashed.select(
         *ENTITY_KEY,
         "snapshot_date",
-        _previous("snapshot_date").alias("previous_snapshot"),
+        F.lag("snapshot_date").over(series).alias("previous_snapshot"),
         *columns,
-        *[(F.col(c) - _previous(c)).alias(f"{c}_change") for c in columns],
+        *[(F.col(c) - F.lag(c).over(series)).alias(f"{c}_change") for c in columns],
     )
 
 
@@ -34,11 +33,13 @@ def monotonic_violations(
     silver: DataFrame, columns: list[str] = CUMULATIVE_COLUMNS
 ) -> DataFrame:
     """Rows where a cumulative total is lower than at the previous snapshot."""
-    rows = silver.select(
+    hashed, window = keyed(silver, ENTITY_KEY)
+    series = window.orderBy("snapshot_date")
+    rows = hashed.select(
         *ENTITY_KEY,
         "snapshot_date",
         *columns,
-        *[_previous(c).alias(f"previous_{c}") for c in columns],
+        *[F.lag(c).over(series).alias(f"previous_{c}") for c in columns],
     )
     fell = F.lit(False)
     for c in columns:

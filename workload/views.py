@@ -174,8 +174,19 @@ SELECT concat('d', CAST(doc_id AS STRING)) AS id, text FROM documents
 """
 
 
+# Opened tables, so that file schemas are read once per application. No rows are held.
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    for name in names:
+        owner = (spark.sparkContext.applicationId, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        if owner not in _OPENED or _OPENED[owner].sparkSession is not spark:
+            _OPENED[owner] = spark.read.parquet(owner[1])
+    return {
+        n: _OPENED[spark.sparkContext.applicationId, f"{sf_dir.rstrip('/')}/{n}.parquet"]
+        for n in names
+    }
 
 
 def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
