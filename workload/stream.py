@@ -31,7 +31,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_folder(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """The messages as JSON-lines files in event order, one file per micro-batch."""
+    """The messages as JSON-lines files in event order, in four files."""
     path = f"{root}/messages"
     ordered = envelopes(spark, sf_dir).repartitionByRange(4, "event_id")
     ordered.sortWithinPartitions("event_id").drop("event_id").write.json(path)
@@ -141,7 +141,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Each row once, however many failures follow; the batch decides the count seen."""
     root = scratch_dir(spark, "letters")
-    stream = C.message_files(spark, message_folder(spark, sf_dir, root), files_per_batch=1)
+    stream = C.message_files(spark, message_folder(spark, sf_dir, root), files_per_batch=2)
     writer = C.dead_letter_route(stream, f"{root}/letters", f"{root}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
     letters = spark.read.schema(C.DEAD_LETTER_SCHEMA).parquet(f"{root}/letters")
