@@ -7,12 +7,15 @@ ids of a piece come from the tokenizers library.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 
 import numpy as np
 
 from snapstrata.llm.words import _BYTE_VALUES, _POWERS, MAX_POWER, mix
 
+#: Pieces handed to the tokenizer at once; its results are large objects.
+AT_ONCE = 1 << 14
 #: Distinct pieces that a worker remembers; beyond that it starts anew.
 REMEMBERED = 1_200_000
 
@@ -86,6 +89,8 @@ class PieceEncoder:
     _made: dict[str, PieceEncoder] = {}
 
     def __init__(self, path: str):
+        # Spark runs a worker on every core; threads within a worker only add work.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -143,15 +148,18 @@ class PieceEncoder:
             known = self.keys[np.minimum(at, len(self.keys) - 1)] == unique
         new = where[~known]
         if len(new):
-            texts = [
-                data[s : s + n].tobytes().decode("utf-8")
-                for s, n in zip(starts[new].tolist(), sizes[new].tolist(), strict=True)
-            ]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            count = len(self.begins) - 1
-            ends = self.begins[-1] + np.cumsum([len(x) for x in found])
-            self.begins = np.concatenate((self.begins, ends))
-            self.flat = np.concatenate((self.flat, np.fromiter((i for x in found for i in x), np.uint32)))
+            count, flat, sizes_of = len(self.begins) - 1, [self.flat], []
+            for i in range(0, len(new), AT_ONCE):
+                own = new[i : i + AT_ONCE]
+                texts = [
+                    data[s : s + n].tobytes().decode("utf-8")
+                    for s, n in zip(starts[own].tolist(), sizes[own].tolist(), strict=True)
+                ]
+                found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                flat.append(np.fromiter((i for x in found for i in x), np.uint32))
+                sizes_of += map(len, found)
+            self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes_of)))
+            self.flat = np.concatenate(flat)
             self.keys = np.insert(self.keys, at[~known], unique[~known])
             self.entries = np.insert(self.entries, at[~known], count + np.arange(len(new)))
             at = np.searchsorted(self.keys, unique)

@@ -11,7 +11,7 @@ import numpy as np
 SCALE_BITS = 20
 LANES = 512
 #: Rows of lanes between checkpoints. Decoding starts at every checkpoint at once.
-CHECKPOINT_ROWS = 128
+CHECKPOINT_ROWS = 64
 
 _WORD = np.uint64(32)
 _SCALE = np.uint64(SCALE_BITS)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 MAX_POWER = 1 << 12
 
 _rng = np.random.Generator(np.random.PCG64(20240101))
