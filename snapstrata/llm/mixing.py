@@ -16,7 +16,7 @@ BLOCK_WORDS = 1024
 #: keep running sums free of hot groups.
 RANGE_DIGITS = 3
 RANGES = 16**RANGE_DIGITS
-SLOT_RANGE = 1 << 16
+SLOT_RANGE = 1 << 12
 #: Equal bins of the unit interval in which schedule points meet the sources' intervals.
 BINS = 4096
 #: Fractional part of the golden ratio, and of 2^20 times it.
