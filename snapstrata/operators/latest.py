@@ -14,8 +14,11 @@ from snapstrata.schemas import ENTITY_KEY, NATURAL_KEY
 
 _RANK = "_rn"
 _HASH = "_key_hash"
-# One value per run, or rewritten by the job: says nothing about which row is newer.
-_NOT_ORDERING = {"_ingested_at", "_pipeline_version"}
+_INGESTED = "_ingested_at"
+# Rewritten by the job: says nothing about which row is newer.
+_NOT_ORDERING = {_INGESTED, "_pipeline_version"}
+# Totals that only grow: of rows ingested at the same time, the larger is the newer.
+_CUMULATIVE = ("rounds_played", "kills", "deaths", "assists", "first_kills", "first_deaths")
 
 
 def keyed(df: DataFrame, key: list[str]) -> tuple[DataFrame, WindowSpec]:
@@ -35,22 +38,25 @@ def first_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFra
     return ranked.where(F.col(_RANK) == 1).drop(_RANK, _HASH)
 
 
-def tie_break(df: DataFrame, key: list[str]) -> list[Column]:
-    """Every carried column, so that rows left in a tie are equal anyway."""
-    carried = [c for c in df.columns if c not in key and c not in _NOT_ORDERING]
+def newest_first(df: DataFrame, key: list[str], row_version: str | None = None) -> list[Column]:
+    """Ingestion time, version and cumulative counts, latest first, then every other column.
+
+    Rows left in a tie are equal anyway.
+    """
+    falling = [c for c in (_INGESTED, row_version, *_CUMULATIVE) if c in df.columns and c not in key]
+    carried = [c for c in df.columns if c not in key and c not in _NOT_ORDERING and c not in falling]
     carried.sort(key=lambda c: c == "_source_file")
-    return [F.col(c).asc_nulls_last() for c in carried]
+    return [F.col(c).desc_nulls_last() for c in falling] + [F.col(c).asc_nulls_last() for c in carried]
 
 
 def dedup_latest(
     df: DataFrame, key: list[str] = NATURAL_KEY, row_version: str | None = None
 ) -> DataFrame:
-    """One row per natural key: highest version first, then a total order.
+    """One row per natural key: the latest ingested, then the highest version, then a total order.
 
     The result is the same however the input is partitioned.
     """
-    order = [F.col(row_version).desc_nulls_last()] if row_version else []
-    return first_per_key(df, key, order + tie_break(df, key))
+    return first_per_key(df, key, newest_first(df, key, row_version))
 
 
 def latest_state(silver: DataFrame, key: list[str] = ENTITY_KEY) -> DataFrame:
@@ -62,9 +68,7 @@ def latest_bronze(bronze: DataFrame, row_version: str | None = None) -> DataFram
     """``latest_state`` of ``dedup_latest`` in one shuffle instead of two.
 
     The dedup winner of an entity's newest date is the first row by date,
-    version and tie-break within the entity.
+    ingestion, version and tie-break within the entity.
     """
     order = [F.col("snapshot_date").desc_nulls_last()]
-    if row_version:
-        order.append(F.col(row_version).desc_nulls_last())
-    return first_per_key(bronze, ENTITY_KEY, order + tie_break(bronze, NATURAL_KEY))
+    return first_per_key(bronze, ENTITY_KEY, order + newest_first(bronze, NATURAL_KEY, row_version))

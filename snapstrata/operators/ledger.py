@@ -40,7 +40,7 @@ def recent_scrapes(ledger: DataFrame, size: int = AUDIT_LIMIT) -> DataFrame:
 def typed_job_projection(jobs: DataFrame) -> DataFrame:
     """The five columns a scrape needs; all text but the row id."""
     return jobs.select(
-        F.col("id").cast("int").alias("row_id"),
+        F.col("id").cast("bigint").alias("row_id"),
         *[F.col(c).cast("string").alias(c) for c in ("event_id", "region_abbr", "map_id", "agent")],
     )
 

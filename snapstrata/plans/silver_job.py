@@ -21,7 +21,7 @@ def refresh_silver(
     silver_path: str,
     snapshot_date: datetime.date | str | None,
     version: str = PIPELINE_VERSION,
-    newest_file_wins: bool = False,
+    newest_file_wins: bool = True,
 ) -> dict[str, int]:
     """Clean one snapshot in a single pass and return its counts.
 

@@ -21,8 +21,7 @@ SUCCESS, FAILED, MALFORMED = "success", "failed", "malformed"
 # Fixed value: failures of one row after which it goes to the dead letters.
 MAX_FAILURES = 5
 
-# The longest wait between two batches, and messages per batch.
-POLL_INTERVAL = "5 minutes"
+# Fixed value: messages that the scheduled poll takes at once; pass it to keep its pace.
 MESSAGES_PER_BATCH = 200
 
 OUTCOME_SCHEMA = (
@@ -41,17 +40,13 @@ def message_files(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 def message_topic(
-    spark: SparkSession, servers: str, topic: str, per_batch: int = MESSAGES_PER_BATCH
+    spark: SparkSession, servers: str, topic: str, per_batch: int | None = None
 ) -> DataFrame:
     """The same stream from a Kafka topic; needs the Kafka connector on the class path."""
-    raw = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("maxOffsetsPerTrigger", per_batch)
-        .load()
-    )
-    return raw.select(
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+    if per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", per_batch)
+    return reader.load().select(
         F.concat_ws("-", "topic", "partition", "offset").alias("ack_id"),
         F.struct(base64_line(F.col("value")).alias("data")).alias("message"),
     )

@@ -38,7 +38,7 @@ def _(spark, sf_dir):
 
 @query(
     "typed_job_projection",
-    f"""{WITH_LEDGER} SELECT CAST(id AS INTEGER) AS row_id, CAST(event_id AS VARCHAR) AS event_id,
+    f"""{WITH_LEDGER} SELECT CAST(id AS BIGINT) AS row_id, CAST(event_id AS VARCHAR) AS event_id,
     region_abbr, map_id, agent FROM ledger WHERE {PENDING}""",
 )
 def _(spark, sf_dir):

@@ -16,8 +16,9 @@ from workload.views import BRONZE, bronze
 KEY = "player_id, snapshot_date, agent, map, event_id, region"
 ENTITY = "player_id, agent, map, event_id, region"
 
-# Every carried column in file order, so that the winner among duplicates is defined.
-TIE = ", ".join(
+# Larger totals are newer; then every carried column in file order, so that the winner is defined.
+COUNTS_DOWN = ("rounds_played", "kills", "deaths", "assists", "first_kills", "first_deaths")
+TIE = ", ".join(f"{c} DESC NULLS LAST" for c in COUNTS_DOWN) + ", " + ", ".join(
     f"{c} ASC NULLS LAST"
     for c in (
         "player", "org", "rounds_played", "rating", "average_combat_score", "kill_deaths",

@@ -10,16 +10,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from snapstrata.schemas import map_values_sql
-from snapstrata.session import spread_small_input
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# Fact tables, in whose splits all later work runs, and what spreads a small one.
-LARGE = {"lineitem": ["l_orderkey", "l_linenumber"], "documents": ["doc_id"]}
-
 _DIMENSIONS = """
 FROM lineitem l
 JOIN orders o   ON l.l_orderkey = o.o_orderkey
@@ -194,8 +190,6 @@ def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     named = set(re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", sql))
     needed = [t for t in TABLES if t in named]
     for name, table in read_tables(spark, sf_dir, *needed).items():
-        if name in LARGE:
-            table = spread_small_input(table, *LARGE[name])
         table.createOrReplaceTempView(name)
     return spark.sql(sql)
 
