@@ -12,7 +12,21 @@ from snapstrata.session import scratch_dir
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hands texts to Python workers in batches of at most 1,000 rows from now on.
+
+    Batches go by rows; with whole documents the default of 10,000 takes much memory.
+    """
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= MOST_BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS, str(MOST_BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,6 +53,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     costs only the tasks that it was running.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_dir(spark, label)
     with shuffle_cleanup(spark):
         df.write.parquet(path)

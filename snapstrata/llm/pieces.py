@@ -17,7 +17,7 @@ from snapstrata.llm.words import _BYTE_VALUES, _POWERS, MAX_POWER, mix
 #: Pieces handed to the tokenizer at once; its results are large objects.
 AT_ONCE = 1 << 14
 #: Distinct pieces that a worker remembers; beyond that it starts anew.
-REMEMBERED = 1_200_000
+REMEMBERED = 500_000
 
 BLANK, LETTER, NUMBER, OTHER = range(4)
 # White space by the pattern language's \s, and the cut-off endings.
