@@ -105,7 +105,13 @@ def test_higher_version_wins(spark):
         "v", F.when(F.col("kills") == 99, 2).otherwise(1)
     )
     assert first(latest.dedup_latest(rows, row_version="v"))["kills"] == 99
-    assert first(latest.dedup_latest(rows.drop("v")))["kills"] == 1
+    # Totals only grow, so without a version the larger one is the newer row.
+    assert first(latest.dedup_latest(rows.drop("v")))["kills"] == 99
+    later = rows.drop("v").withColumn(
+        "_ingested_at", F.to_timestamp(F.when(F.col("kills") == 1, "2024-01-02").otherwise("2024-01-01"))
+    )
+    assert first(latest.dedup_latest(later))["kills"] == 1
+    assert first(latest.latest_bronze(later))["kills"] == 1
 
 
 def test_hot_key_is_limited_before_the_shuffle(spark, capsys):
