@@ -107,6 +107,31 @@ def test_near_duplicates(docs, no_docs):
     assert neardup.near_duplicates(no_docs).isEmpty() and neardup.one_of_each(no_docs).isEmpty()
 
 
+def test_near_duplicates_lose_no_link(spark):
+    """Texts around one shared passage, from near copies to merely similar, against all pairs."""
+    rng = np.random.default_rng(9)
+    passage = words(rng, 120, 10_000)
+    texts = [passage + " " + words(rng, int(n), 10_000) for n in rng.integers(1, 90, 60)]
+    for i in range(0, 60, 2):
+        edited = texts[i].split()
+        edited[int(rng.integers(0, len(edited)))] = f"edit{i}"
+        texts.append(" ".join(edited))
+    docs = spark.createDataFrame([(i, t, None, None, 0, "") for i, t in enumerate(texts)], DOCS)
+    keys = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        hashes, _ = hash_words(data, np.array([0, len(data)]), ALPHANUMERIC, lower=True)
+        keys.append(neardup.shingles(hashes, 5))
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if neardup.aligned_similarity(keys[i], keys[j]) >= 0.8 and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = [low if c == high else c for c in want]
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want and 1 < len(set(want)) < 60
+
+
 def test_alignment_keeps_order():
     a = np.arange(1, 101, dtype=np.uint64) * np.uint64(77)
     swapped = np.concatenate((a[50:], a[:50]))
