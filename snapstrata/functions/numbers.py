@@ -27,10 +27,14 @@ def exact_sum(value: Column) -> Column:
 
 
 def weighted_sums(value: Column, weight: Column) -> tuple[Column, Column]:
-    """Numerator and denominator of a weighted mean over rows having both."""
-    both = value.isNotNull() & weight.isNotNull()
-    product = value.try_cast("decimal(18,4)") * weight
-    return F.sum(F.when(both, product)), F.sum(F.when(both, weight.cast("bigint")))
+    """Numerator and denominator of a weighted mean over rows having both.
+
+    Values count as decimals of 8 places. NaN, infinite values and those from 1e16 on
+    are left out of both sums.
+    """
+    exact = value.try_cast("decimal(24,8)")
+    both = exact.isNotNull() & weight.isNotNull()
+    return F.sum(F.when(both, exact * weight)), F.sum(F.when(both, weight.cast("bigint")))
 
 
 def quotient(numerator: Column, denominator: Column) -> Column:

@@ -64,9 +64,16 @@ def snapshot_file_groups(listing: DataFrame, prefixes: DataFrame | None = None)
 
     Rows rather than a list per group, so that no task ever holds a whole
     group. The counts are unique on the join key; a hot group is split by the
-    skew join. ``prefixes(prefix)`` restricts the report.
+    skew join. ``prefixes(prefix)`` restricts the report, with or without a slash at the
+    end; one without files is a row of its own, with no date, no path and 0 files.
     """
-    files = snapshot_files(listing)
-    if prefixes is not None:
-        files = files.join(prefixes.select("prefix"), "prefix", "left_semi")
-    return files.join(snapshot_file_counts(listing), ["prefix", "snapshot_date"])
+    if prefixes is None:
+        return snapshot_files(listing).join(snapshot_file_counts(listing), ["prefix", "snapshot_date"])
+    asked = prefixes.select(F.regexp_replace("prefix", "/+$", "").alias("prefix")).distinct()
+    wanted = listing.join(
+        asked.withColumnRenamed("prefix", "_asked"), path_prefix(F.col("path")) == F.col("_asked"), "left_semi"
+    )
+    groups = snapshot_files(wanted).join(snapshot_file_counts(wanted), ["prefix", "snapshot_date"])
+    return asked.join(groups, "prefix", "left").select(
+        "prefix", "snapshot_date", "path", F.coalesce("n_files", F.lit(0)).alias("n_files")
+    )

@@ -42,6 +42,8 @@ def test_weighted_mean_needs_both(spark):
         "SELECT * FROM VALUES (1.0D, 10), (2.0D, 30), (null, 5), (9.0D, null) t(v, w)"
     )
     assert rows.agg(N.weighted_mean(F.col("v"), F.col("w"))).first()[0] == 1.75
+    odd = spark.sql("SELECT * FROM VALUES (1D, 10), (double('NaN'), 10), (1e17D, 10) AS t(v, w)")
+    assert odd.agg(N.weighted_mean(F.col("v"), F.col("w"))).first()[0] == 1.0
     assert rows.where("w = 5").agg(N.weighted_mean(F.col("v"), F.col("w"))).first()[0] is None
 
 
@@ -131,6 +133,16 @@ def test_decode_message(one):
     assert found[8].row_id is None and found[8].success is False
 
 
+def test_decode_message_by_rule(one):
+    rows = [("12", 1), (12.0, "false"), (1.5, 0), (7, ""), (3_000_000_000, [])]
+    values = [b64({"row_id": r, "success": s}) for r, s in rows]
+    found = one(M.decode_message, [*values, b64(b'{"row_id": 1, "success": true} more'), b64(b'{"row_id": 1}] {')])
+    assert [(b.row_id, b.success) for b in found[:5]] == [
+        (12, True), (12, True), (None, False), (7, False), (3_000_000_000, False),
+    ]
+    assert found[5:] == [None, None]
+
+
 def test_encode_is_undone_by_decode(spark):
     rows = spark.sql("SELECT 12L AS r, repeat('long/path/', 20) AS p, true AS s")
     data = M.encode_completion(F.col("r"), F.col("p"), F.col("s"))
