@@ -12,13 +12,14 @@ from workload.registry import query
 from workload.views import LEDGER, MESSAGE_BODIES, MESSAGES, ledger, run
 
 SENT = f"sent AS ({MESSAGES})"
-OUTCOME = """CASE WHEN kind IN ('not base64', 'not json', 'not an object') THEN 'malformed'
+OUTCOME = """CASE WHEN kind IN ('not base64', 'not json', 'not an object', 'trailing') THEN 'malformed'
   WHEN kind = 'no success' OR NOT success THEN 'failed'
   WHEN kind = 'no row id' THEN 'malformed' ELSE 'success' END"""
 TRIAGED = f"triaged AS (SELECT *, {OUTCOME} AS outcome FROM sent)"
 # What can be read from a body of each kind.
-BODY_ROW = "CASE WHEN kind IN ('whole', 'no success') THEN row_id END"
-READABLE = "kind IN ('whole', 'no success', 'no row id')"
+SPELT = "'text id', 'decimal id', 'number success', 'text success'"
+BODY_ROW = f"CASE WHEN kind IN ('whole', 'no success', {SPELT}) THEN row_id END"
+READABLE = f"kind IN ('whole', 'no success', 'no row id', {SPELT})"
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +32,9 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_folder(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """The messages as JSON-lines files in event order, in four files."""
+    """The messages as JSON-lines files, as many as the events have splits."""
     path = f"{root}/messages"
-    ordered = envelopes(spark, sf_dir).repartitionByRange(4, "event_id")
-    ordered.sortWithinPartitions("event_id").drop("event_id").write.json(path)
+    envelopes(spark, sf_dir).drop("event_id").write.json(path)
     return path
 
 
@@ -53,7 +53,7 @@ def _(spark, sf_dir):
     "decode_message",
     f"""WITH {SENT} SELECT event_id, {READABLE} AS readable, {BODY_ROW} AS row_id,
     CASE WHEN {READABLE} THEN blob_path END AS blob_path,
-    CASE WHEN kind IN ('whole', 'no row id') THEN success END AS success FROM sent""",
+    CASE WHEN kind IN ('whole', 'no row id', {SPELT}) THEN success END AS success FROM sent""",
 )
 def _(spark, sf_dir):
     rows = envelopes(spark, sf_dir).withColumn("b", decode_message(F.col("message.data")))

@@ -125,6 +125,11 @@ SELECT event_id, CAST(event_id AS STRING) AS ack_id, user_id AS row_id, ts,
             WHEN event_id % 83 = 0 THEN 'not an object'
             WHEN event_id % 79 = 0 THEN 'no row id'
             WHEN event_id % 73 = 0 THEN 'no success'
+            WHEN event_id % 71 = 0 THEN 'text id'
+            WHEN event_id % 67 = 0 THEN 'decimal id'
+            WHEN event_id % 61 = 0 THEN 'number success'
+            WHEN event_id % 59 = 0 THEN 'text success'
+            WHEN event_id % 53 = 0 THEN 'trailing'
             ELSE 'whole' END AS kind
 FROM events
 """
@@ -137,6 +142,15 @@ SELECT m.*,
                                               CAST(success AS STRING), '}}')
                  WHEN 'no success' THEN concat('{{"row_id": ', CAST(row_id AS STRING),
                                                ', "blob_path": "', blob_path, '"}}')
+                 WHEN 'text id' THEN concat('{{"row_id": "', CAST(row_id AS STRING), '", "blob_path": "',
+                                            blob_path, '", "success": ', CAST(success AS STRING), '}}')
+                 WHEN 'decimal id' THEN concat('{{"row_id": ', CAST(row_id AS STRING), '.0, "blob_path": "',
+                                               blob_path, '", "success": ', CAST(success AS STRING), '}}')
+                 WHEN 'number success' THEN concat('{{"row_id": ', CAST(row_id AS STRING), ', "blob_path": "',
+                      blob_path, '", "success": ', CASE WHEN success THEN '1' ELSE '0' END, '}}')
+                 WHEN 'text success' THEN concat('{{"row_id": ', CAST(row_id AS STRING), ', "blob_path": "',
+                      blob_path, '", "success": "', CASE WHEN success THEN 'false' ELSE '' END, '"}}')
+                 WHEN 'trailing' THEN concat('{{"row_id": ', CAST(row_id AS STRING), ', "success": true}} done')
                  ELSE concat('{{"row_id": ', CAST(row_id AS STRING), ', "blob_path": "', blob_path,
                              '", "success": ', CAST(success AS STRING), '}}') END AS body
 FROM ({MESSAGES}) m
