@@ -76,7 +76,6 @@ LEDGER_SCHEMA = (
 
 # Completion message: transport envelope around a base64 JSON body.
 ENVELOPE_SCHEMA = "ack_id string, message struct<data: string>"
-BODY_SCHEMA = "row_id bigint, blob_path string, success boolean, error string"
 
 # Map ids the producers know. 4 and 7 do not exist.
 MAP_NAMES: dict[str, str] = {
