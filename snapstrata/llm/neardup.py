@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapstrata.llm.common import stored
@@ -27,6 +27,8 @@ FIRST_SKETCHES = 4
 LEADERS = 2
 GROWTH = 4
 SEED = 11
+#: Longs of a text's parity bits.
+PARITY_LONGS = 8
 
 _rng = np.random.Generator(np.random.PCG64(SEED))
 _FACTORS = _rng.integers(1 << 40, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
@@ -52,6 +54,29 @@ def order_minhash(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def parity_bits(keys: np.ndarray) -> np.ndarray:
+    """One bit for each of ``64 * PARITY_LONGS`` hash values: whether an odd number of shingles has it.
+
+    A shingle that only one of two texts holds turns one bit, so the bits that differ
+    are never more than the shingles that differ.
+    """
+    spots = mix(keys * np.uint64(0xA0761D6478BD642F)) % np.uint64(64 * PARITY_LONGS)
+    odd = np.bincount(spots.astype(np.int64), minlength=64 * PARITY_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+def may_reach(x: str, y: str, threshold: float) -> Column:
+    """Whether texts of ``size`` shingles and parity ``bits`` can be as similar as ``threshold``; never false if they are."""
+    both = F.col(f"{x}size") + F.col(f"{y}size")
+    differing = sum(
+        (F.bit_count(F.col(f"{x}bits")[i].bitwiseXOR(F.col(f"{y}bits")[i])) for i in range(PARITY_LONGS)), F.lit(0)
+    )
+    return (
+        (F.least(f"{x}size", f"{y}size") >= both * F.lit(threshold / (1 + threshold)) - 1e-6)
+        & (differing <= both * F.lit((1 - threshold) / (1 + threshold)) + 1e-6)
+    )
+
+
 @lru_cache(4096)
 def _labelled(words: bytes) -> np.ndarray:
     """Shingles of a stored word sequence; a leader's are asked for again and again."""
@@ -93,7 +118,7 @@ def aligned_similarity(x: np.ndarray, y: np.ndarray, threshold: float = SIMILARI
 
 def _profile(batches):
     for batch in batches:
-        prints, sketches, words = [], [], []
+        prints, sketches, words, sizes, bits = [], [], [], [], []
         for _, data, offsets in text_chunks(batch.column("text")):
             hashes, rows = hash_words(data, offsets, ALPHANUMERIC, lower=True)
             plain, plain_rows = hash_words(data, offsets, BLANK_SEPARATED, lower=False)
@@ -102,20 +127,25 @@ def _profile(batches):
                 if not len(own):
                     # Without letters or digits the blank-separated pieces stand for the words.
                     own = plain[plain_rows[k] : plain_rows[k + 1]]
-                keys = shingles(own, SHINGLE)
+                # The shingles are those of the stored words, so that the bits bound what the alignment finds.
+                short = own >> np.uint64(32)
+                keys = shingles(short, SHINGLE)
                 place = np.arange(1, len(own) + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
                 whole = mix(own + place)
                 prints.append(
                     np.array([whole.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(whole.copy())), len(own)], "<u8").tobytes()
                 )
                 sketches.append(order_minhash(keys).view(np.int64) if len(keys) else np.zeros(0, np.int64))
-                words.append((own >> np.uint64(32)).astype("<u4").tobytes())
-        sizes = np.cumsum([0] + [len(s) for s in sketches])
+                words.append(short.astype("<u4").tobytes())
+                sizes.append(len(keys))
+                bits.append(parity_bits(keys))
+        ends = np.cumsum([0] + [len(s) for s in sketches])
         flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(prints, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat)), pa.array(words, pa.binary())],
-            ["doc_id", "print", "sketches", "words"],
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.array(words, pa.binary()),
+             pa.array(sizes, pa.int64()), pa.array([b.tolist() for b in bits], pa.list_(pa.int64()))],
+            ["doc_id", "print", "sketches", "words", "size", "bits"],
         )
 
 
@@ -148,8 +178,9 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     the members, and while a group spans several classes, further leaders with members
     of other classes, more of them each turn, until every member has led. So each
     candidate pair is either aligned or in one class already: copies and near copies
-    cost about one alignment a text, and no link between candidates is lost. Only texts
-    of one group that all differ from each other are aligned pair by pair.
+    cost about one alignment a text, and no link between candidates is lost. Pairs
+    that their sizes or parity bits prove too different are not aligned: the bits that
+    differ never outnumber the shingles that differ, so this dismisses no link.
     ``class_id`` is the smallest id of the connected texts.
 
     Null and empty texts are copies of each other. Ids are expected to be unique up
@@ -158,7 +189,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     """
     profile = stored(
         docs.select("doc_id", "text").mapInArrow(
-            _profile, "doc_id long, print binary, sketches array<bigint>, words binary"
+            _profile,
+            "doc_id long, print binary, sketches array<bigint>, words binary, size bigint, bits array<bigint>",
         ),
         "near-profile",
     )
@@ -172,24 +204,24 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     # A text's place lies evenly between 0 and the size of its largest group. It leads in all
     # its groups in the turn in which the bound passes its place, so no pair is aligned in two turns.
     share = F.pmod(F.xxhash64("rep", F.lit(SEED)), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    classes = stored(
-        groups.groupBy("rep").agg(F.max("n").alias("n"))
-        .select("rep", F.col("rep").alias("component"), (share * F.col("n")).alias("place")),
-        "near-classes",
-    )
-    last = classes.agg(F.max("place")).first()[0]
-    wanted = classes.select("rep")
+    largest = stored(groups.groupBy("rep").agg(F.max("n").alias("n")), "near-largest")
     words = stored(
-        chosen.select(F.col("doc_id").alias("rep"), "words").join(wanted, "rep", "left_semi")
+        chosen.select(F.col("doc_id").alias("rep"), "words", "size", "bits").join(largest, "rep", "left_semi")
         .dropDuplicates(["rep"]),
         "near-words",
     )
+    classes = stored(
+        largest.join(words, "rep")
+        .select("rep", F.col("rep").alias("component"), (share * F.col("n")).alias("place"), "size", "bits"),
+        "near-classes",
+    )
+    last = classes.agg(F.max("place")).first()[0]
     # The first turn takes a few sketches and a member each; most groups are in one class after it.
     asked, led, bound = groups.where(F.col("band") < FIRST_SKETCHES), None, 0
     while last is not None and (led is None or led <= last):
         placed = asked.select("sketch", "rep").join(classes, "rep")
         if led is None:
-            leaders = placed.groupBy("sketch").agg(F.min(F.struct("place", "rep", "component")).alias("l"))
+            leaders = placed.groupBy("sketch").agg(F.min(F.struct("place", "rep", "component", "size", "bits")).alias("l"))
             leaders = leaders.select("sketch", "l.*")
         else:
             open_groups = placed.groupBy("sketch").agg(
@@ -197,12 +229,14 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
             ).where(F.col("low") != F.col("high")).select("sketch")
             leaders = placed.where((F.col("place") >= led) & (F.col("place") < bound)).join(open_groups, "sketch")
         leaders = leaders.select(
-            "sketch", F.col("rep").alias("a"), F.col("place").alias("from"), F.col("component").alias("of_a")
+            "sketch", F.col("rep").alias("a"), F.col("place").alias("from"), F.col("component").alias("of_a"),
+            F.col("size").alias("a_size"), F.col("bits").alias("a_bits"),
         )
         # Of two members the one with the lower place leads.
         later = (F.col("place") > F.col("from")) | ((F.col("place") == F.col("from")) & (F.col("rep") > F.col("a")))
         pairs = (
-            placed.join(leaders, "sketch").where((F.col("component") != F.col("of_a")) & later)
+            placed.join(leaders, "sketch")
+            .where((F.col("component") != F.col("of_a")) & later & may_reach("", "a_", threshold))
             .select("a", F.col("rep").alias("b"), "of_a", F.col("component").alias("of_b")).distinct()
         )
         links = stored(_verified(stored(pairs, "near-pairs"), words, threshold), "near-links")
@@ -210,7 +244,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
             joined = connected_components(links, "joined")
             classes = stored(
                 classes.join(joined.withColumnRenamed("id", "component"), "component", "left")
-                .select("rep", F.coalesce("joined", "component").alias("component"), "place"),
+                .select("rep", F.coalesce("joined", "component").alias("component"), "place", "size", "bits"),
                 "near-classes",
             )
         asked, led = groups, bound
