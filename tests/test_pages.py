@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from snapstrata.functions.html import decode_entities, link_targets
 from snapstrata.operators import pages as P
 from snapstrata.schemas import BRONZE_FIELDS
 
@@ -109,3 +110,23 @@ def test_no_python_in_the_plan(spark, capsys):
     P.stats_page_rows(pages.withColumn("html", F.upper("html"))).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and plan.count("Generate") == 1
+
+
+def test_links_follow_the_attribute_rule(spark):
+    html = (
+        "<a href='/a'><A HREF=\"/b\"><a data-href=\"/c\" href=\"/d?x=1&amp;y=2\"><a title=\" href='/no'\">"
+        "<!-- <a href='/old'> --><script>'<a href=\"/js\">'</script><a href = /e class=x><a href=\"\">"
+    )
+    rows = spark.createDataFrame([(html,), (None,), ("",), ("no tags",)], "html string")
+    got = [r[0] for r in rows.select(link_targets(F.col("html"))).collect()]
+    assert got == [["/a", "/b", "/d?x=1&y=2", "/e", ""], None, [], []]
+
+
+def test_character_references(spark):
+    pairs = [
+        ("Jos&#233; &#x27;x&#x27; &eacute;", "José 'x' é"), ("a&nbsp;b", "a\u00a0b"), ("&amp;lt; &#38;lt;", "&lt; &lt;"),
+        ("&unknown; & &#0; &#xD800; &#x1F600;", "&unknown; & \ufffd \ufffd \U0001f600"), ("&", "&"), ("", ""), (None, None),
+    ]
+    rows = spark.createDataFrame(pairs, "text string, want string")
+    for r in rows.select("want", decode_entities(F.col("text")).alias("got")).collect():
+        assert r.got == r.want

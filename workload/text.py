@@ -100,9 +100,24 @@ def _(spark, sf_dir):
     return extract_fields(run(spark, sf_dir, FRAGMENTS), BASE_URL)
 
 
+# What the links of ``spelt_pages`` are, told from the pages as they were before.
 LINKS = """SELECT page_id, CAST(generate_subscripts(hrefs, 1) - 1 AS INTEGER) AS link_no,
   unnest(hrefs) AS text
-  FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs FROM pages)"""
+  FROM (SELECT page_id, list_prepend('/page/' || CAST(page_id AS VARCHAR) || '?a=1&b=é',
+    list_transform(regexp_extract_all(html, 'href="([^"]*)"', 1), lambda x: replace(x, '&amp;', '&'))) AS hrefs
+    FROM pages)"""
+
+
+def spelt_pages(spark, sf_dir):
+    """The pages with their links spelt in several ways, and one more link in front."""
+    html, kind = F.col("html"), F.col("page_id") % 3
+    spelt = (
+        F.when(kind == 1, F.replace(html, F.lit('href="'), F.lit('HREF = "')))
+        .when(kind == 2, F.replace(html, F.lit('href="'), F.lit('data-href="/none" Href="')))
+        .otherwise(html)
+    )
+    first = F.concat(F.lit("<a href='/page/"), F.col("page_id"), F.lit("?a=1&amp;b=&#233;'>"))
+    return read_tables(spark, sf_dir, "pages")["pages"].withColumn("html", F.concat(first, spelt))
 
 
 @query(
@@ -111,11 +126,11 @@ LINKS = """SELECT page_id, CAST(generate_subscripts(hrefs, 1) - 1 AS INTEGER) AS
     {THIRD} AS link_id FROM links""",
 )
 def _(spark, sf_dir):
-    return page_links(read_tables(spark, sf_dir, "pages")["pages"], BASE_URL)
+    return page_links(spelt_pages(spark, sf_dir), BASE_URL)
 
 
 def _links(spark, sf_dir):
-    pages = read_tables(spark, sf_dir, "pages")["pages"]
+    pages = spelt_pages(spark, sf_dir)
     return pages.select("page_id", F.explode(link_targets(F.col("html"))).alias("text"))
 
 
