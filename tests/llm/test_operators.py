@@ -279,3 +279,15 @@ def test_pipeline_stages_keep_columns(spark):
         docs, before = spark.createDataFrame(found.toPandas(), found.schema), set(kept)
     digest = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert digest.count() == docs.count()
+
+
+def test_differing_parity_bits_never_outnumber_differing_shingles():
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 600, 9_000):
+        x = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for changed in (0, 1, n // 10, n // 2, n):
+            y = np.concatenate([x[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)])
+            turned = neardup.parity_bits(x.copy()) ^ neardup.parity_bits(y.copy())
+            bits = sum(int(b).bit_count() for b in turned.view(np.uint64))
+            assert bits <= len(np.setxor1d(x, y))
+    assert neardup.parity_bits(np.zeros(0, np.uint64)).tolist() == [0] * neardup.PARITY_LONGS
