@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from snapstrata.llm.common import stored
 from snapstrata.llm.words import ALPHANUMERIC, hash_words, mix, text_chunks
 
-#: Fixed masks: a seed hashes the words under 1 and ignores those under 0.
-MASKS = ("11101011", "110100111", "1011001101", "11001010111")
+#: Fixed masks: a seed hashes the words under 1 and ignores those under 0. Every overlap
+#: that counts has a place where one of them meets equal words only: overlaps shrink to
+#: 13 words with 2 unequal, 15 with 3, 20 with 4, 25 with 5 or 30 with 6, and the tests
+#: go through all placements in these.
+MASKS = ("1111111", "11101111", "111110011", "11010010111", "1100100010111", "1110101001001")
 LONGEST = max(map(len, MASKS))
+#: The same for items of 11 and 12 words, of which two may be unequal.
+MIDDLE_MASKS = ("111111", "1110111", "11011011", "111000111", "1101001011")
+MIDDLE_ITEM = 11
 #: An overlap counts from so many equal words, or from most words of a shorter item.
 LEAST_WORDS = 13
 #: What an unequal word costs against an equal one: at most one word in five may differ.
@@ -23,6 +29,18 @@ SHORT_ITEM = 5
 FILTER_BITS = 22
 
 
+def words_needed(n: int) -> int:
+    """Equal words that an overlap with an item of ``n`` words needs: four fifths, or ``LEAST_WORDS``."""
+    return min(LEAST_WORDS, -(-4 * n // 5))
+
+
+def item_masks(n: int) -> tuple[str, ...]:
+    """The masks that seed an item of ``n`` words."""
+    if n >= LONGEST:
+        return MASKS
+    return MIDDLE_MASKS if n >= MIDDLE_ITEM else ("1" * n,) if n else ()
+
+
 def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the words under the mask at every place where it fits."""
     n = len(words) - len(mask) + 1
@@ -42,18 +60,17 @@ def _probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _item_seeds(batches):
-    """Words of each item, and its seeds: every mask that fits, else one over all its words."""
+    """Words of each item, and its seeds: those of the masks for its number of words."""
     for batch in batches:
         words, seeds = [], []
         for _, data, offsets in text_chunks(batch.column("text")):
             hashes, rows = hash_words(data, offsets, ALPHANUMERIC, lower=True)
             for k in range(len(offsets) - 1):
                 own = hashes[rows[k] : rows[k + 1]]
-                masks = MASKS if len(own) >= LONGEST else ("1" * len(own),) if len(own) else ()
                 words.append(own.view(np.int64).tolist())
                 seeds.append([
                     {"seed": int(h), "at": i}
-                    for m in masks for i, h in enumerate(seed_hashes(own, m).view(np.int64))
+                    for m in item_masks(len(own)) for i, h in enumerate(seed_hashes(own, m).view(np.int64))
                 ])
         yield pa.RecordBatch.from_arrays(
             [batch.column("item_id"), pa.array(words, pa.list_(pa.int64())),
@@ -67,8 +84,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     One row per document and item whose words (letters and digits, ASCII case
     ignored) overlap: a run aligned word by word with at least ``LEAST_WORDS`` equal
-    words, or four fifths of a shorter item, in which at most one word in five
-    differs; the best run is reported, the earliest among equals. Items under
+    words, or four fifths of the item where that is less, in which at most one word in
+    five differs; the run with the most equal words is reported, the earliest among
+    equals. Items under
     ``SHORT_ITEM`` words must equal the whole document; items without words match
     nothing. Null texts count as empty; repeated documents give one row each;
     repeated items one row per id.
@@ -92,10 +110,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     high = F.shiftrightunsigned("seed", 64 - FILTER_BITS)
     set_bits = seeds.select(F.explode(F.array(low.cast("int"), high.cast("int"))).alias("bit")).distinct().toArrow()
     bits[set_bits.column("bit").to_numpy()] = True
-    short = [
-        r["n"] for r in seeds.where(F.col("n") < LONGEST).select("n").distinct().collect()
-    ]
-    masks = [*MASKS, *("1" * n for n in sorted(short))]
+    kinds = seeds.select(F.least("n", F.lit(LONGEST)).alias("n")).distinct().collect()
+    masks = sorted({m for r in kinds for m in item_masks(r["n"])} | set(MASKS))
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def find(batches):
@@ -167,12 +183,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def best_run(equal: np.ndarray) -> tuple[int, int, int]:
-    """Start, length and equal words of the run that scores best, 1 an equal word, less an unequal."""
+    """Start, length and equal words of the run with the most equal words, the earliest among equals.
+
+    Of all runs with at least ``MISMATCH`` equal words for each unequal one; unequal words
+    at its ends do not count to it.
+    """
     total = np.concatenate(([0], np.cumsum(np.where(equal, 1, -MISMATCH))))
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    start = int(np.flatnonzero(total[: end + 1] == low[end])[0]) if end else 0
-    return start, end - start, int(equal[start:end].sum())
+    # For each end the earliest start whose total is no higher: no other run to that end has more equal words.
+    starts = np.searchsorted(-np.minimum.accumulate(total), -total)
+    count = np.concatenate(([0], np.cumsum(equal)))
+    end = int(np.argmax(count - count[starts]))
+    inside = starts[end] + np.flatnonzero(equal[starts[end] : end])
+    return (int(inside[0]), int(inside[-1] - inside[0]) + 1, len(inside)) if len(inside) else (0, 0, 0)
 
 
 def _overlaps(batches):
@@ -186,7 +208,7 @@ def _overlaps(batches):
             n = min(len(item) - skip, len(near))
             equal = item[skip : skip + n] == near[:n]
             start, size, same = best_run(equal)
-            need = LEAST_WORDS if len(item) >= LEAST_WORDS else -(-4 * len(item) // 5)
+            need = words_needed(len(item))
             if len(item) < SHORT_ITEM:
                 need = len(item) if get["doc_words"][k].as_py() == len(item) else len(item) + 1
             if same >= need:

@@ -1,5 +1,6 @@
 """The training-data operators against plain versions on small tables."""
 
+import itertools
 import math
 import re
 import zlib
@@ -153,6 +154,52 @@ def test_decontamination(spark, docs, no_docs, texts):
     assert decontam.contaminated(no_docs, benchmark).isEmpty()
 
 
+def masks_meet(n, unequal, masks):
+    """Whether, for each placement of so many unequal words among ``n``, a mask meets equal words only."""
+    marks = [sum(1 << i for i in p) for p in itertools.combinations(range(n), unequal)]
+    marks, met = np.array(marks, np.int64), np.zeros(len(marks), bool)
+    for m in masks:
+        for at in range(n - len(m) + 1):
+            met |= marks & (int(m[::-1], 2) << at) == 0
+    return met.all()
+
+
+def test_masks_meet_every_overlap():
+    for n, unequal in ((13, 2), (14, 2), (15, 3), (16, 3), (20, 4), (25, 5), (30, 6)):
+        assert masks_meet(n, unequal, decontam.MASKS)
+    for n in (11, 12):
+        assert masks_meet(n, n - decontam.words_needed(n), decontam.item_masks(n))
+
+
+def test_best_run_equals_brute_force():
+    rng = np.random.default_rng(4)
+    cases = [rng.random(rng.integers(0, 36)) < p for p in (0.5, 0.7, 0.8, 0.9) for _ in range(150)]
+    for equal in [*cases, np.array([True] * 10 + [False] + [True] * 3)]:
+        best = (0, 0, 0)
+        for i, j in itertools.combinations(range(len(equal) + 1), 2):
+            same = int(equal[i:j].sum())
+            if equal[i] and equal[j - 1] and same >= 4 * (j - i - same) and same > best[2]:
+                best = (i, j - i, same)
+        assert decontam.best_run(equal) == best
+
+
+def test_decontamination_finds_every_placement(spark):
+    """Items of 13 to 17 words with each placement of the unequal words that still counts."""
+    rng = np.random.default_rng(8)
+    items, rows, want = [], [], set()
+    for n, unequal in ((13, 2), (14, 1), (14, 2), (15, 3), (16, 3), (17, 2)):
+        item = words(rng, n, 100_000).split()
+        items.append((n * 10 + unequal, " ".join(item)))
+        for place in itertools.combinations(range(n), unequal):
+            text = [f"x{len(rows)}" if i in place else w for i, w in enumerate(item)]
+            if decontam.best_run(np.isin(np.arange(n), place, invert=True))[2] >= decontam.words_needed(n):
+                want.add((len(rows), n * 10 + unequal))
+            rows.append((len(rows), f"before {' '.join(text)} after"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = decontam.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(want) > 800
+
+
 def test_ids_equal_the_tokenizer_and_survive_the_files(spark, docs, no_docs, texts, tmp_path):
     from tokenizers import Tokenizer
 
