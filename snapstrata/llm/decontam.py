@@ -16,9 +16,10 @@ from snapstrata.llm.words import ALPHANUMERIC, hash_words, mix, text_chunks
 #: go through all placements in these.
 MASKS = ("1111111", "11101111", "111110011", "11010010111", "1100100010111", "1110101001001")
 LONGEST = max(map(len, MASKS))
-#: The same for items of 11 and 12 words, of which two may be unequal.
+#: The same for items of 10 to 12 words, of which two may be unequal, and of 5 to 9 with one.
 MIDDLE_MASKS = ("111111", "1110111", "11011011", "111000111", "1101001011")
-MIDDLE_ITEM = 11
+MIDDLE_ITEM = 10
+SHORT_MASKS = ("1111", "10111", "11011", "11101")
 #: An overlap counts from so many equal words, or from most words of a shorter item.
 LEAST_WORDS = 13
 #: What an unequal word costs against an equal one: at most one word in five may differ.
@@ -38,7 +39,9 @@ def item_masks(n: int) -> tuple[str, ...]:
     """The masks that seed an item of ``n`` words."""
     if n >= LONGEST:
         return MASKS
-    return MIDDLE_MASKS if n >= MIDDLE_ITEM else ("1" * n,) if n else ()
+    if n >= MIDDLE_ITEM:
+        return MIDDLE_MASKS
+    return SHORT_MASKS if n >= SHORT_ITEM else ("1" * n,) if n else ()
 
 
 def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:

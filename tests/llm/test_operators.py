@@ -200,6 +200,25 @@ def test_decontamination_finds_every_placement(spark):
     assert {(r.doc_id, r.item_id) for r in found} == want and len(want) > 800
 
 
+def test_decontamination_finds_short_items_with_substitutions(spark):
+    """Items of 5 to 12 words with every placement of as many unequal words as may be, and of one more."""
+    rng = np.random.default_rng(6)
+    items, rows, want = [], [], set()
+    for n in range(5, 13):
+        item = words(rng, n, 100_000).split()
+        items.append((n, " ".join(item)))
+        for unequal in (1, 2, 3):
+            assert unequal > n - decontam.words_needed(n) or masks_meet(n, unequal, decontam.item_masks(n))
+            for place in itertools.combinations(range(n), unequal):
+                text = [f"x{len(rows)}" if i in place else w for i, w in enumerate(item)]
+                if decontam.best_run(np.isin(np.arange(n), place, invert=True))[2] >= decontam.words_needed(n):
+                    want.add((len(rows), n))
+                rows.append((len(rows), f"before {' '.join(text)} after"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = decontam.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and 100 < len(want) < len(rows)
+
+
 def test_ids_equal_the_tokenizer_and_survive_the_files(spark, docs, no_docs, texts, tmp_path):
     from tokenizers import Tokenizer
 
