@@ -16,10 +16,17 @@ from snapstrata.llm.words import ALPHANUMERIC, BLANK_SEPARATED, hash_words, mix,
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Sketches of a text, and minimum shingles that each keeps in text order. A pair of
-#: similarity 0.8 shares a sketch with probability 1 - (1 - 0.8^5)^32, over 0.99999.
+#: Sketches of a text, and minimum shingles that each keeps in text order. A pair with m
+#: of u shingles aligned shares one with probability 1 - (1 - C(m, 5) / C(u, 5))^32: over
+#: 0.99999 at similarity 0.8 where u is over ``SHORT``, and less below.
 SKETCHES = 32
 MINIMA = 5
+#: Texts of so many shingles have sketches of fewer minima. A pair with u up to ``SHORT``
+#: shares one with probability 1 - (1 - C(m, 3) / C(u, 3))^24, over 0.99999 as well: least
+#: where 4 of 5 are aligned. Texts of 3 shingles and fewer reach 0.8 as copies only.
+SHORT = 35
+SHORT_SKETCHES = 24
+SHORT_MINIMA = 3
 #: Sketches whose groups are looked at first.
 FIRST_SKETCHES = 4
 #: Leaders of a group in the first full turn, on average, and how many times as many
@@ -35,25 +42,40 @@ _FACTORS = _rng.integers(1 << 40, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint6
 _SHIFTS = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
 
 
-def order_minhash(keys: np.ndarray) -> np.ndarray:
-    """``SKETCHES`` hashes, each over the ``MINIMA`` smallest labelled shingles in text order."""
-    n = min(MINIMA, len(keys))
+def order_minhash(keys: np.ndarray, sketches: int = SKETCHES, minima: int = MINIMA) -> np.ndarray:
+    """``sketches`` hashes, each over the ``minima`` smallest labelled shingles in text order."""
+    n = min(minima, len(keys))
     block = max(1, (1 << 20) // max(1, len(keys)))
-    out = np.empty(SKETCHES, np.uint64)
-    for i in range(0, SKETCHES, block):
-        ranks = keys[None, :] * _FACTORS[i : i + block, None] + _SHIFTS[i : i + block, None]
+    out = np.empty(sketches, np.uint64)
+    for i in range(0, sketches, block):
+        ranks = keys[None, :] * _FACTORS[i : min(i + block, sketches), None]
+        ranks += _SHIFTS[i : min(i + block, sketches), None]
         ranks ^= ranks >> np.uint64(29)
         least = np.argpartition(ranks, n - 1, axis=1)[:, :n] if n < len(keys) else np.tile(
             np.arange(n), (len(ranks), 1)
         )
         least.sort(axis=1)
-        sketch = np.arange(i, i + len(ranks), dtype=np.uint64)
+        sketch = np.arange(i, i + len(ranks), dtype=np.uint64) + np.uint64(minima * SKETCHES)
         for j in range(n):
             sketch = sketch * np.uint64(0x9FB21C651E98DF25) + keys[least[:, j]]
         out[i : i + block] = mix(sketch)
     return out
 
 
+def text_sketches(keys: np.ndarray) -> np.ndarray:
+    """The sketches that a text shares with those it may be similar to.
+
+    Shingles of both of a similar pair are at least ``SIMILARITY`` of the union, so
+    texts of up to that share of ``SHORT`` have no partner beyond it.
+    """
+    kinds = []
+    if len(keys) <= SHORT:
+        kinds.append(order_minhash(keys, SHORT_SKETCHES, SHORT_MINIMA))
+    if len(keys) > SIMILARITY * SHORT:
+        kinds.append(order_minhash(keys))
+    return np.concatenate(kinds)
+
+
 def parity_bits(keys: np.ndarray) -> np.ndarray:
     """One bit for each of ``64 * PARITY_LONGS`` hash values: whether an odd number of shingles has it.
 
@@ -135,7 +157,7 @@ def _profile(batches):
                 prints.append(
                     np.array([whole.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(whole.copy())), len(own)], "<u8").tobytes()
                 )
-                sketches.append(order_minhash(keys).view(np.int64) if len(keys) else np.zeros(0, np.int64))
+                sketches.append(text_sketches(keys).view(np.int64) if len(keys) else np.zeros(0, np.int64))
                 words.append(short.astype("<u4").tobytes())
                 sizes.append(len(keys))
                 bits.append(parity_bits(keys))

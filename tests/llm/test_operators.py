@@ -133,6 +133,46 @@ def test_near_duplicates_lose_no_link(spark):
     assert [got[i] for i in range(len(texts))] == want and 1 < len(set(want)) < 60
 
 
+def test_near_duplicates_of_short_texts_lose_no_link(spark):
+    """Texts of 5 to 60 words with words added or changed at an end, against all pairs."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for n in [*range(5, 20), *range(20, 61, 4)]:
+        for more in (1, 2, n // 6):
+            text = words(rng, n, 100_000)
+            texts += [text, f"{text} {words(rng, more, 100_000)}", " ".join(text.split()[:-1] + ["other"])]
+    keys = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        hashes, _ = hash_words(data, np.array([0, len(data)]), ALPHANUMERIC, lower=True)
+        keys.append(neardup.shingles(hashes >> np.uint64(32), 5))
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if neardup.aligned_similarity(keys[i], keys[j]) >= 0.8 and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = [low if c == high else c for c in want]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want and len(set(want)) < len(texts) - 30
+
+
+def test_pairs_at_the_threshold_share_a_sketch():
+    """By count over the unions: the least probability, and pairs of 4 and 5 shingles in fact."""
+    for u in range(4, 400):
+        m = math.ceil(0.8 * u - 1e-9)
+        if u > neardup.SHORT:
+            miss = (1 - math.comb(m, neardup.MINIMA) / math.comb(u, neardup.MINIMA)) ** neardup.SKETCHES
+        else:
+            miss = (1 - math.comb(m, neardup.SHORT_MINIMA) / math.comb(u, neardup.SHORT_MINIMA)) ** neardup.SHORT_SKETCHES
+        assert miss < 1e-5, u
+    rng = np.random.default_rng(13)
+    for n, more in ((4, 1), (5, 1), (8, 2), (28, 7), (29, 7), (33, 8)):
+        for _ in range(200):
+            keys = rng.integers(0, 1 << 63, n + more, dtype=np.uint64)
+            assert len(np.intersect1d(neardup.text_sketches(keys), neardup.text_sketches(keys[:n])))
+
+
 def test_alignment_keeps_order():
     a = np.arange(1, 101, dtype=np.uint64) * np.uint64(77)
     swapped = np.concatenate((a[50:], a[:50]))
