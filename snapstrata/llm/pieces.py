@@ -2,7 +2,8 @@
 
 A byte-level BPE tokenizer cuts a text into pieces and encodes each piece by itself,
 so equal pieces have equal ids. Cutting is done here for many texts at once; the
-ids of a piece come from the tokenizers library.
+ids of a piece come from the tokenizers library. Texts that hold an added token, or a
+code point that Python's tables do not know, go whole to the library.
 """
 
 from __future__ import annotations
@@ -25,16 +26,18 @@ WHITE = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 
-def _kinds() -> np.ndarray:
-    kinds = np.full(0x110000, OTHER, np.uint8)
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each code point, and whether it is unassigned: the library may know it by newer tables."""
+    kinds, unassigned = np.full(0x110000, OTHER, np.uint8), np.zeros(0x110000, bool)
     for c in range(0x110000):
-        group = unicodedata.category(chr(c))[0]
-        if group == "L":
+        category = unicodedata.category(chr(c))
+        if category[0] == "L":
             kinds[c] = LETTER
-        elif group == "N":
+        elif category[0] == "N":
             kinds[c] = NUMBER
+        unassigned[c] = category == "Cn"
     kinds[list(WHITE)] = BLANK
-    return kinds
+    return kinds, unassigned
 
 
 def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,11 +97,12 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
+        self.library = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.kinds = _kinds()
+        self.kinds, self.unassigned = _kinds()
         self.forget()
 
     @classmethod
@@ -119,6 +123,47 @@ class PieceEncoder:
         if not len(data):
             return np.full(rows, end_id, np.uint32), np.ones(rows, np.int64)
         codes, at = code_points(data)
+        whole = self._whole_texts(data, offsets, codes, at)
+        if not whole.any():
+            return self._cut(data, offsets, codes, at, end_id)
+        ids, counts = [], []
+        turns = np.flatnonzero(whole[1:] != whole[:-1]) + 1
+        for i, j in zip([0, *turns.tolist()], [*turns.tolist(), rows], strict=True):
+            begin, end = int(offsets[i]), int(offsets[j])
+            if whole[i]:
+                for k in range(i, j):
+                    text = data[offsets[k] : offsets[k + 1]].tobytes().decode("utf-8")
+                    own = [*self.library.encode(text, add_special_tokens=False).ids, end_id]
+                    ids.append(np.array(own, np.uint32))
+                    counts.append(np.array([len(own)], np.int64))
+            elif begin == end:
+                ids.append(np.full(j - i, end_id, np.uint32))
+                counts.append(np.ones(j - i, np.int64))
+            else:
+                low, high = np.searchsorted(at, (begin, end))
+                found = self._cut(
+                    data[begin:end], offsets[i : j + 1] - begin, codes[low:high], at[low:high] - begin, end_id
+                )
+                ids.append(found[0])
+                counts.append(found[1])
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _whole_texts(self, data, offsets, codes, at) -> np.ndarray:
+        """Whether each text holds an added token or an unassigned code point."""
+        places = [at[self.unassigned[codes]]]
+        raw = data.tobytes()
+        for token in self.added:
+            found, place = [], raw.find(token)
+            while place >= 0:
+                found.append(place)
+                place = raw.find(token, place + 1)
+            places.append(np.array(found, np.int64))
+        whole = np.zeros(len(offsets) - 1, bool)
+        whole[np.searchsorted(offsets, np.concatenate(places), "right") - 1] = True
+        return whole
+
+    def _cut(self, data, offsets, codes, at, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        rows = len(offsets) - 1
         first = np.zeros(len(codes), bool)
         first[np.searchsorted(at, offsets[:-1][offsets[:-1] < len(data)])] = True
         starts = at[piece_starts(codes, first, self.kinds)]

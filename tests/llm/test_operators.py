@@ -280,6 +280,24 @@ def test_ids_equal_the_tokenizer_and_survive_the_files(spark, docs, no_docs, tex
     assert tokenfile.read_token_files(spark, f"file://{tmp_path}/none").isEmpty()
 
 
+def test_added_tokens_and_new_letters_equal_the_library():
+    from tokenizers import Tokenizer
+
+    from snapstrata.llm.pieces import PieceEncoder
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    texts = [
+        "plain it's", "a <|endoftext|> b", "", "<|endoftext|>", "<|endo", "ftext|> x", "a \u1c89b 1", "x\ua7cby",
+        "\U000105c0\U000105c1 z", "", "  \n", "<|endoftext|><|endoftext|> \u1c89", "end été", "",
+    ]
+    for own in (texts, texts[::-1], ["<|endoftext|>"], ["", "", "\u1c89", ""]):
+        data = np.frombuffer("".join(own).encode(), np.uint8)
+        offsets = np.cumsum([0] + [len(t.encode()) for t in own])
+        ids, counts = PieceEncoder.shared(tokenizer_path()).encode(data, offsets, 2)
+        want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in own]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 70_000])
 def test_range_coder_round_trip(n):
     ids = np.minimum(np.random.default_rng(n).zipf(1.4, n), 999).astype(np.uint32)
