@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstrata.llm import chat, decontam, langid, maxent, mixing, neardup, pivots, quality, secrets, tokenfile
+from snapstrata.llm import (
+    chat, decontam, langid, maxent, mixing, neardup, pivots, quality, secrets, tokenfile, whitening,
+)
 from snapstrata.llm.common import id_bucket, stored, table
 from snapstrata.session import scratch_dir
 
@@ -197,3 +199,10 @@ def op10_top_k(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     vectors = rows.select("vec_id", pivots.quantized(F.col("embedding")).alias("v"))
     return pivots.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    """Every valid embedding projected on the eight leading components, each of unit deviation."""
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whitened_components(rows, whitening.fit_whitening(rows), "embedding", "vec_id")
