@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.llm import (
-    chat, decontam, langid, maxent, mixing, neardup, pivots, quality, secrets, tokenfile, whitening,
+    chat, decontam, langid, maxent, mixing, neardup, pivots, quality, repair, secrets, tokenfile,
+    toxicity, whitening,
 )
 from snapstrata.llm.common import id_bucket, stored, table
 from snapstrata.session import scratch_dir
@@ -201,6 +202,25 @@ def op10_top_k(spark, sf_dir):
     return pivots.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+@query("op11_toxicity")
+def op11_toxicity(spark, sf_dir):
+    """Toxicity of every document; a fifth of the ids is held out of the fit."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 5) == 0
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.with_toxicity(docs, model, ["doc_id"], "score")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op12_structure_repair")
+def op12_structure_repair(spark, sf_dir):
+    """Cheapest audit of every damaged conversation, and the digest of what it leaves."""
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    repaired = repair.repair_conversations(rows, F.col("present"))
+    digests = repair.repaired_digests(repaired.lines).select(F.col("conv_id").alias("of"), F.col("digest").alias("repaired_sha256"))
+    return repaired.audits.join(digests, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+
+
 @query("op13_whitening")
 def op13_whitening(spark, sf_dir):
     """Every valid embedding projected on the eight leading components, each of unit deviation."""
