@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from snapstrata.functions.paths import partition_path, path_prefix, path_snapshot
 from snapstrata.operators.ledger import completed_date_projection, scraped_partitions
+from snapstrata.session import kept
 
 
 def expected_paths(ledger: DataFrame, root: str = "bronze") -> DataFrame:
@@ -51,29 +52,25 @@ def snapshot_files(listing: DataFrame) -> DataFrame:
     ).where(F.col("snapshot_date") != "")
 
 
-def snapshot_file_counts(listing: DataFrame) -> DataFrame:
-    return (
-        snapshot_files(listing)
-        .groupBy("prefix", "snapshot_date")
-        .agg(F.count(F.lit(1)).alias("n_files"))
-    )
-
-
 def snapshot_file_groups(listing: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
     """Files per prefix and snapshot: one row per file, with its group's size.
 
     Rows rather than a list per group, so that no task ever holds a whole
-    group. The counts are unique on the join key; a hot group is split by the
+    group. The listing is read once, cut to the files wanted and kept; counts and rows
+    come from there. The counts are unique on the join key; a hot group is split by the
     skew join. ``prefixes(prefix)`` restricts the report, with or without a slash at the
     end; one without files is a row of its own, with no date, no path and 0 files.
     """
+    files = snapshot_files(listing)
     if prefixes is None:
-        return snapshot_files(listing).join(snapshot_file_counts(listing), ["prefix", "snapshot_date"])
+        return _with_group_size(kept(files, "snapshot-files"))
     asked = prefixes.select(F.regexp_replace("prefix", "/+$", "").alias("prefix")).distinct()
-    wanted = listing.join(
-        asked.withColumnRenamed("prefix", "_asked"), path_prefix(F.col("path")) == F.col("_asked"), "left_semi"
-    )
-    groups = snapshot_files(wanted).join(snapshot_file_counts(wanted), ["prefix", "snapshot_date"])
+    groups = _with_group_size(kept(files.join(asked, "prefix", "left_semi"), "snapshot-files"))
     return asked.join(groups, "prefix", "left").select(
         "prefix", "snapshot_date", "path", F.coalesce("n_files", F.lit(0)).alias("n_files")
     )
+
+
+def _with_group_size(files: DataFrame) -> DataFrame:
+    group = ["prefix", "snapshot_date"]
+    return files.join(files.groupBy(*group).agg(F.count(F.lit(1)).alias("n_files")), group)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from snapstrata.functions.numbers import quotient, weighted_mean, weighted_sums
 from snapstrata.operators.quantiles import exact_quantiles
+from snapstrata.session import kept
 
 # Output name of each rate and the Silver column it averages.
 RATES = {
@@ -76,15 +77,19 @@ def gold_player_career(latest: DataFrame) -> DataFrame:
 
 
 def gold_agent_distribution(latest: DataFrame) -> DataFrame:
-    """Per agent: totals, share of all rounds, quartiles of the main measures."""
+    """Per agent: totals, share of all rounds, quartiles of the main measures.
+
+    Looks at ``latest`` twice: for the totals, and to count the values of the measures.
+    """
     totals = latest.groupBy("agent").agg(
         F.count(F.lit(1)).alias("entities"),
         *_distinct(players="player_id"),
         _total("rounds_played"),
         *_rates(),
     )
-    # One aggregated row, read as a scalar subquery.
-    rounds = latest.agg(F.sum(F.col("rounds_played").cast("bigint"))).scalar()
+    # One row per agent, kept: the share of all rounds is taken from these totals.
+    totals = kept(totals, "agent-totals")
+    rounds = totals.agg(F.sum("rounds_played")).scalar()
     totals = totals.withColumn("rounds_share", quotient(F.col("rounds_played"), rounds))
     spread = exact_quantiles(latest, "agent", DISTRIBUTION_COLUMNS, QUARTILES)
     spread = spread.withColumnRenamed("agent", "_agent")

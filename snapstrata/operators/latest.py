@@ -7,10 +7,13 @@ third of the table costs the reducer one row per map task.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from snapstrata.schemas import ENTITY_KEY, NATURAL_KEY
+from snapstrata.session import kept
 
 _RANK = "_rn"
 _HASH = "_key_hash"
@@ -64,6 +67,36 @@ def latest_state(silver: DataFrame, key: list[str] = ENTITY_KEY) -> DataFrame:
     return first_per_key(silver, key, [F.col("snapshot_date").desc_nulls_last()])
 
 
+def _same_entity(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
+    """Equality on the key, where null equals null as it does within a window."""
+    same = F.lit(True)
+    for c in key:
+        same = same & left[c].eqNullSafe(right[c])
+    return same
+
+
+def advance_state(
+    state: DataFrame, silver: DataFrame, snapshot_date: datetime.date | str, key: list[str] = ENTITY_KEY
+) -> DataFrame:
+    """``latest_state`` of ``silver`` from a stored state that differs from it by one date at most.
+
+    Reads the state and the rows of that date. The date may be new, late, or one that was written
+    again. Only when a repeated date has lost entities are earlier dates looked at, and of
+    these nothing but the entities lost.
+    """
+    date = F.lit(str(snapshot_date)).cast("date")
+    brought = silver.where(F.col("snapshot_date") == date)
+    held = state.where(~F.col("snapshot_date").eqNullSafe(date))
+    before = state.where(F.col("snapshot_date") == date)
+    lost = kept(before.select(*key).join(brought.select(*key), _same_entity(before, brought, key), "left_anti"), "lost")
+    candidates = held.unionByName(brought.select(*state.columns))
+    if not lost.isEmpty():
+        earlier = silver.where(F.col("snapshot_date") < date)
+        found = earlier.join(lost, _same_entity(earlier, lost, key), "left_semi")
+        candidates = candidates.unionByName(latest_state(found, key).select(*state.columns))
+    return latest_state(candidates, key)
+
+
 def latest_bronze(bronze: DataFrame, row_version: str | None = None) -> DataFrame:
     """``latest_state`` of ``dedup_latest`` in one shuffle instead of two.
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# Batch sizes of the two dispatchers and of the audit report.
+# Batch size of the dispatcher and of the audit report.
 DISPATCH_BATCH = 200
-SCRAPE_BATCH = 1000
 AUDIT_LIMIT = 500
 
 
@@ -82,39 +81,50 @@ def unknown_map_filter(jobs: DataFrame, dimension: DataFrame) -> tuple[DataFrame
     )
 
 
-def _mark(ledger: DataFrame, marks: DataFrame, chosen: Column, eligible: Column) -> DataFrame:
+def _mark(
+    ledger: DataFrame, marks: DataFrame, chosen: Column, eligible: Column, with_named: bool
+) -> DataFrame:
     # Grouping the marks first folds any number of repeats of an id in the map
     # tasks, so the join sees each id once and cannot multiply ledger rows.
     per_id = marks.groupBy(F.col("row_id").alias("_row_id")).agg(chosen.alias("_marked_at"))
-    changed = F.col("_row_id").isNotNull() & eligible
-    return (
-        ledger.join(per_id, F.col("id") == F.col("_row_id"), "left")
-        .withColumns(
-            {
-                "changed": changed,
-                "is_scrapped": F.when(changed, F.lit(True)).otherwise(F.col("is_scrapped")),
-                "last_scraped": F.when(changed, F.col("_marked_at")).otherwise(
-                    F.col("last_scraped")
-                ),
-            }
-        )
-        .drop("_row_id", "_marked_at")
-    )
-
-
-def mark_scraped_bulk(ledger: DataFrame, marks: DataFrame) -> DataFrame:
+    named = F.col("_row_id").isNotNull()
+    changed = named & eligible
+    columns = {
+        "changed": changed,
+        "is_scrapped": F.when(changed, F.lit(True)).otherwise(F.col("is_scrapped")),
+        "last_scraped": F.when(changed, F.col("_marked_at")).otherwise(F.col("last_scraped")),
+    }
+    if with_named:
+        columns["named"] = named
+    joined = ledger.join(per_id, F.col("id") == F.col("_row_id"), "left")
+    return joined.withColumns(columns).drop("_row_id", "_marked_at")
+
+
+def mark_scraped_bulk(ledger: DataFrame, marks: DataFrame, with_named: bool = False) -> DataFrame:
     """Set flag and time for every id in ``marks(row_id, marked_at)``.
 
     A later mark of the same id moves its time forward. ``changed`` tells
-    which rows were touched.
+    which rows were touched, ``named`` which ones a mark names.
     """
-    return _mark(ledger, marks, F.max("marked_at"), F.lit(True))
+    return _mark(ledger, marks, F.max("marked_at"), F.lit(True), with_named)
 
 
-def mark_scraped_guarded(ledger: DataFrame, marks: DataFrame) -> DataFrame:
+def mark_scraped_guarded(ledger: DataFrame, marks: DataFrame, with_named: bool = False) -> DataFrame:
     """The same, but only rows completed and not yet scraped change.
 
     The first mark wins, because after it a row no longer qualifies.
     """
     open_row = F.coalesce(F.col("is_completed") & ~F.col("is_scrapped"), F.lit(False))
-    return _mark(ledger, marks, F.min("marked_at"), open_row)
+    return _mark(ledger, marks, F.min("marked_at"), open_row, with_named)
+
+
+def observe_marks(marked: DataFrame, observation: Observation) -> DataFrame:
+    """Counts rows ``changed``, and ``refused`` ones that a mark names in vain, while the table is written.
+
+    Takes a table marked with ``with_named``; the counts cost no pass of their own.
+    """
+    return marked.observe(
+        observation,
+        F.count_if("changed").alias("changed"),
+        F.count_if(F.col("named") & ~F.col("changed")).alias("refused"),
+    )

@@ -1,11 +1,11 @@
-"""Session defaults and the shared scratch folder."""
+"""Session defaults, the shared scratch folder, and tables kept there."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -43,3 +43,14 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"snapstrata-{label}-")
+
+
+def kept(table: DataFrame, label: str) -> DataFrame:
+    """The table written to the scratch folder and read again, where it is used more than once.
+
+    Every executor reaches the files, so a lost one costs only the tasks that it was running.
+    """
+    spark = table.sparkSession
+    path = scratch_dir(spark, label)
+    table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.schema(table.schema).parquet(path)

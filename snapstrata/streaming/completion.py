@@ -1,16 +1,22 @@
 """Completion messages to ledger marks and dead letters.
 
 The ledger itself is not rewritten per micro-batch. Each batch adds its marks
-in a folder of its own, and readers apply them (``current_ledger``); a replayed
-batch overwrites its own folder, so replays change nothing. Offsets are
-committed after the batch function returns: update first, acknowledge second.
+in a folder of its own; a replayed batch overwrites its own folder, so replays
+change nothing. Offsets are committed after the batch function returns: update
+first, acknowledge second. ``plans.ledger_job`` applies the folders to the next
+version of the ledger and removes them; readers apply those that are left.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from snapstrata.functions.messages import base64_line, decode_message
 from snapstrata.operators.ledger import mark_scraped_bulk, mark_scraped_guarded
@@ -94,17 +100,19 @@ def stream_dedup(successes: DataFrame) -> DataFrame:
     )
 
 
+def batch_folder(root: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/batch_id={batch_id}"
+
+
 def store_outcomes(batch: DataFrame, batch_id: int, outcomes_path: str) -> None:
-    """Write one triaged batch, split by outcome, in a single pass."""
-    rows = batch.withColumns(
-        {"received_at": F.current_timestamp(), "batch_id": F.lit(batch_id).cast("bigint")}
-    )
+    """Write one triaged batch into its own folder, split by outcome, in a single pass."""
+    rows = batch.withColumn("received_at", F.current_timestamp())
     (
-        rows.select("ack_id", "row_id", "blob_path", "error", "received_at", "batch_id", "outcome")
+        rows.select("ack_id", "row_id", "blob_path", "error", "received_at", "outcome")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "outcome")
-        .parquet(outcomes_path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("outcome")
+        .parquet(batch_folder(outcomes_path, batch_id))
     )
 
 
@@ -123,14 +131,19 @@ def read_outcomes(spark: SparkSession, outcomes_path: str) -> DataFrame:
     return spark.read.schema(OUTCOME_SCHEMA).parquet(outcomes_path)
 
 
-def outcome_marks(outcomes: DataFrame, after_batch: int | None = None) -> DataFrame:
+def outcome_marks(
+    outcomes: DataFrame, after_batch: int | None = None, through_batch: int | None = None
+) -> DataFrame:
     """``row_id, marked_at`` of the successes; reads the success folders only.
 
-    ``after_batch`` leaves out batches that a compacted ledger already holds.
+    ``after_batch`` leaves out batches that a compacted ledger already holds, ``through_batch``
+    those that it will not hold yet.
     """
     marks = outcomes.where(F.col("outcome") == SUCCESS)
     if after_batch is not None:
         marks = marks.where(F.col("batch_id") > after_batch)
+    if through_batch is not None:
+        marks = marks.where(F.col("batch_id") <= through_batch)
     return marks.select("row_id", F.col("received_at").alias("marked_at"))
 
 
@@ -146,43 +159,59 @@ def current_ledger(
 
 
 def dead_letters(failures: DataFrame, threshold: int = MAX_FAILURES) -> DataFrame:
-    """Rows that failed ``threshold`` times or more, with their count.
+    """Rows of a table that failed ``threshold`` times or more, with their count.
 
     Counts recorded failures per row id, where a message broker would count
     deliveries per message: a stream commits a batch as a whole, so single
-    messages are not sent again. Works on a table and on a stream, where the
-    counts are kept in the state store.
+    messages are not sent again.
     """
     counts = failures.where(F.col("row_id").isNotNull()).groupBy("row_id")
     return counts.agg(F.count(F.lit(1)).alias("failures")).where(F.col("failures") >= threshold)
 
 
+ROUTED_SCHEMA = "row_id bigint, failures bigint"
+FAILURE_STATE = "failures bigint, routed boolean"
+
+
+def routed_once(failures: DataFrame, threshold: int = MAX_FAILURES) -> DataFrame:
+    """Stream of the rows that reach ``threshold`` failures, each in the batch in which it does.
+
+    The state of a row id is its count and whether it has been routed, so a batch costs what it
+    brings. Only ids are shuffled, and the failures of one id are counted batch by batch as they
+    come out of the shuffle, never held together.
+    """
+
+    def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[Any]:
+        seen, routed = state.get if state.exists else (0, False)
+        seen += sum(len(batch) for batch in batches)
+        reached = seen >= threshold and not routed
+        state.update((seen, routed or reached))
+        if reached:
+            yield pd.DataFrame({"row_id": [key[0]], "failures": [seen]})
+
+    return (
+        failures.where(F.col("row_id").isNotNull())
+        .select("row_id")
+        .groupBy("row_id")
+        .applyInPandasWithState(count, ROUTED_SCHEMA, FAILURE_STATE, "append", GroupStateTimeout.NoTimeout)
+    )
+
+
 def store_dead_letters(batch: DataFrame, batch_id: int, letters_path: str) -> None:
-    """Append rows not routed before; this batch's own folder is replaced on a replay."""
-    spark = batch.sparkSession
-    fresh = batch
-    if batch_id > 0:
-        routed = (
-            spark.read.schema(DEAD_LETTER_SCHEMA)
-            .parquet(letters_path)
-            .where(F.col("batch_id") != batch_id)
-        )
-        fresh = batch.join(routed.select("row_id"), "row_id", "left_anti")
-    fresh.write.mode("overwrite").parquet(f"{letters_path}/batch_id={batch_id}")
+    """Write the letters of one batch into its own folder, which a replay replaces. Reads no other one."""
+    batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        batch_folder(letters_path, batch_id)
+    )
 
 
 def dead_letter_route(
     messages: DataFrame, letters_path: str, checkpoint: str, threshold: int = MAX_FAILURES
 ) -> DataStreamWriter:
-    """Writer that routes each row once, in the batch of its ``threshold``-th failure.
-
-    The running counts live in checkpointed state, so a batch costs what it
-    brings and not what has been seen before.
-    """
+    """Writer that routes each row once, in the batch of its ``threshold``-th failure."""
     failed = completion_triage(messages).where(F.col("outcome") == FAILED)
     return (
-        dead_letters(failed, threshold)
-        .writeStream.outputMode("update")
+        routed_once(failed, threshold)
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: store_dead_letters(batch, batch_id, letters_path))
     )

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from snapstrata.operators import gold
+from snapstrata.operators import gold, quantiles
 from snapstrata.operators.cleaning import silver_transform
 from snapstrata.operators.quantiles import exact_quantiles
 from tests.samples import bronze, row
@@ -73,8 +73,10 @@ def test_gold_of_nothing_is_empty(latest):
         assert table(latest.where("false")).collect() == [], name
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_exact_quantiles_match_numpy_under_skew(spark, seed):
+@pytest.mark.parametrize("seed, sorted_values, cuts", [(1, 50_000, 256), (2, 200, 256), (3, 7, 4)])
+def test_exact_quantiles_match_numpy_under_skew(spark, monkeypatch, seed, sorted_values, cuts):
+    """In one range, after a round of cutting the hot group, and after several."""
+    monkeypatch.setattr(quantiles, "CUTS", cuts)
     rng = random.Random(seed)
     data = [("hot", rng.gauss(0, 1)) for _ in range(4000)]
     data += [("hot", 5.0)] * 3000
@@ -83,7 +85,7 @@ def test_exact_quantiles_match_numpy_under_skew(spark, seed):
     data += [(None, 1.0), (None, 3.0)]
     rows = spark.createDataFrame(data, "k string, v double").withColumn("w", -F.col("v"))
     probabilities = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
-    found = by(exact_quantiles(rows, "k", ["v", "w"], probabilities), "k")
+    found = by(exact_quantiles(rows, "k", ["v", "w"], probabilities, sorted_values), "k")
     assert set(found) == {("hot",), ("ties",), ("one",), ("two",), (None,)}
     for (key,), result in found.items():
         values = np.array([v for k, v in data if k == key])
@@ -91,3 +93,15 @@ def test_exact_quantiles_match_numpy_under_skew(spark, seed):
             name = f"p{round(p * 100):02d}"
             assert result[f"v_{name}"] == pytest.approx(np.quantile(values, p), abs=1e-12)
             assert result[f"w_{name}"] == pytest.approx(np.quantile(-values, p), abs=1e-12)
+
+
+def test_no_range_holds_more_values_than_a_task_sorts(spark):
+    """Very uneven values: half of them within a thousandth, others over many magnitudes."""
+    rng = random.Random(5)
+    data = [("hot", rng.random() / 1000) for _ in range(6000)]
+    data += [("hot", 10 ** rng.uniform(-300, 300)) for _ in range(6000)]
+    rows = spark.createDataFrame(data, "k string, v double")
+    counts = quantiles._value_counts(rows, "k", ["v"])
+    ranges = quantiles.wanted_ranges(counts, [0.25, 0.5, 0.75], 100).collect()
+    assert 0 < len(ranges) <= 6 and all(r._values <= 100 for r in ranges)
+    assert sum(len(r._wants) for r in ranges) == 6

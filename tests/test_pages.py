@@ -130,3 +130,27 @@ def test_character_references(spark):
     rows = spark.createDataFrame(pairs, "text string, want string")
     for r in rows.select("want", decode_entities(F.col("text")).alias("got")).collect():
         assert r.got == r.want
+
+
+def test_quoted_brackets_do_not_end_a_tag(parse, spark):
+    plain = parse(page(cells()))[0]
+    odd = page(cells()).replace('<td class="mod-rnd"', '<td title="20 > 19" data-x=\'</td><tr>\' class="mod-rnd"')
+    odd = odd.replace("<a href", "<a title=\'a<b>c\' href").replace("<div>", '<div data-t="</tr></table>">')
+    odd = odd.replace("<table ", '<table summary="<!-- a > b --><script>" ')
+    assert parse(odd)[0] == plain
+    html = """<a title="x > y" href="/a?b=<c>&amp;d"><a href='/b>' class=it's><a href=/c title=don't><p>a = "b <a href='/d'>"""
+    rows = spark.createDataFrame([(html,)], "html string")
+    assert rows.select(link_targets(F.col("html"))).first()[0] == ["/a?b=<c>&d", "/b>", "/c", "/d"]
+
+
+def test_nested_tables_keep_their_rows_apart(parse):
+    inner = f"<table><tr>{cells(name='Inner')}</tr></table>"
+    outer = (
+        f"<table><tr>{cells(name='First')}<td>{inner}</td></tr><tr>{cells(name='Second')}</tr></table>"
+        f"<table><tr>{cells(name='Third')}</tr>"
+    )
+    rows = parse(outer)
+    # The inner table is no part of the first row's cells, and its row comes after those around it.
+    assert [(r.row_no, r.player) for r in rows] == [(0, "First"), (1, "Second"), (2, "Inner"), (3, "Third")]
+    assert [r.first_deaths for r in rows] == ["", "5", "5", "5"]
+    assert parse("</table>" + page(cells()) + "</table></table>")[0].player == "Ace"

@@ -23,7 +23,7 @@ def oracle():
     connection.close()
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(spark_entry.oracle_sql()))
 def test_query_equals_its_sql(spark, oracle, name):
     frame = spark_entry.queries()[name](spark, SF)
     result = oracle.sql(spark_entry.oracle_sql()[name])

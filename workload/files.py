@@ -16,10 +16,13 @@ from snapstrata.sources import lake, ledger_store, listing
 from workload.gold import CLUTCHES, COUNTS, KILL_DEATHS, RATES, distinct
 from workload.ledger import EXPECTED, WITH_LISTING
 from workload.registry import query
-from workload.silver import DEDUP, LATEST, SILVER
-from workload.views import LAKE, LEDGER, LISTING, lake_rows, ledger, run
+from workload.silver import DEDUP, SILVER, WITH_LATEST
+from workload.views import BRONZE, LEDGER, LISTING, bronze, ledger, run
 
-WITH_LAKE = f"WITH bronze AS ({LAKE})"
+# The lake is written once with all rows; then some of its partitions are replaced.
+REPLACED = "event_id = 1 AND region = 'eu'"
+WITH_LAKE = f"""WITH bronze AS (
+  SELECT * REPLACE (CASE WHEN {REPLACED} THEN kills + 1 ELSE kills END AS kills) FROM ({BRONZE}))"""
 WITH_LAKE_SILVER = f"{WITH_LAKE}, dedup AS ({DEDUP}), silver AS ({SILVER})"
 # CSV does not tell an empty text from a missing one.
 AS_READ = "* REPLACE (nullif(headshot_percentage, '') AS headshot_percentage)"
@@ -30,11 +33,16 @@ _LAKES: dict[tuple[str, str], str] = {}
 
 
 def bronze_lake(spark: SparkSession, sf_dir: str) -> str:
-    """All rows as a partitioned CSV lake, written once per application."""
+    """All rows as a partitioned CSV lake, made once per application.
+
+    A second write replaces the partitions that it brings and leaves the others.
+    """
     owner = (spark.sparkContext.applicationId, sf_dir)
     if owner not in _LAKES:
         path = f"{scratch_dir(spark, 'lake')}/bronze"
-        lake.write_bronze_csv(lake_rows(spark, sf_dir), path)
+        rows = bronze(spark, sf_dir)
+        lake.write_bronze_csv(rows, path, fresh=True)
+        lake.write_bronze_csv(rows.where(REPLACED).withColumn("kills", F.col("kills") + 1), path)
         _LAKES[owner] = path
     return _LAKES[owner]
 
@@ -76,76 +84,123 @@ def _(spark, sf_dir):
     return rows.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query(
+    "ingestion_timestamp",
+    f"""{WITH_LAKE} SELECT snapshot_date, count(*) AS n_rows, TRUE AS all_stamped,
+    CAST(1 AS BIGINT) AS n_stamps FROM bronze GROUP BY snapshot_date""",
+)
+def _(spark, sf_dir):
+    """The time itself differs per run; what holds is one value for all rows that a read takes in."""
+    rows = lake.read_bronze(spark, bronze_lake(spark, sf_dir))
+    return rows.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(F.col("_ingested_at").isNotNull()).alias("all_stamped"),
+        F.count_distinct("_ingested_at").alias("n_stamps"),
+    )
+
+
 @query(
     "lake_listing_source",
     f"""{WITH_LAKE} SELECT DISTINCT 'bronze/' || {FOLDER} || '/data.csv' AS path FROM bronze""",
 )
 def _(spark, sf_dir):
-    files = listing.lake_listing(spark, bronze_lake(spark, sf_dir))
-    return listing.partition_listing(files.where(F.col("length") > 0))
+    """The inventory of the lake, listed by tasks, event by event and region by region."""
+    root = f"{scratch_dir(spark, 'inventory')}/files"
+    listing.refresh_inventory(spark, root, bronze_lake(spark, sf_dir))
+    return listing.partition_listing(listing.read_inventory(spark, root).where(F.col("length") > 0))
 
 
 @query(
     "bronze_csv_sink",
-    f"""{WITH_LAKE} SELECT * REPLACE (nullif(headshot_percentage, '') AS headshot_percentage,
-    CASE WHEN event_id = 1 THEN kills + 1 ELSE kills END AS kills) FROM bronze""",
+    f"""{WITH_LAKE} SELECT event_id, region, map, agent, snapshot_date, count(*) AS n_rows,
+    CAST(sum(kills) AS BIGINT) AS kills, CAST(sum(player_id) AS BIGINT) AS players,
+    count(rating) AS ratings, count(nullif(headshot_percentage, '')) AS headshots
+    FROM bronze GROUP BY event_id, region, map, agent, snapshot_date""",
 )
 def _(spark, sf_dir):
-    """A second write replaces the partitions it brings and leaves the others."""
-    path = f"{scratch_dir(spark, 'csv')}/bronze"
-    rows = lake_rows(spark, sf_dir)
-    lake.write_bronze_csv(rows, path)
-    later = rows.where(F.col("event_id") == 1).withColumn("kills", F.col("kills") + 1)
-    lake.write_bronze_csv(later, path)
-    return lake.read_bronze(spark, path).select(*BRONZE_FIELDS, *PARTITION_COLUMNS)
+    """What each partition holds after both writes."""
+    rows = lake.read_bronze(spark, bronze_lake(spark, sf_dir))
+    return rows.groupBy(*PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("kills").alias("kills"), F.sum("player_id").alias("players"),
+        F.count("rating").alias("ratings"), F.count("headshot_percentage").alias("headshots"),
+    )
 
 
 @query(
     "empty_partition_policy",
-    f"""{WITH_LAKE} SELECT snapshot_date, count(*) AS n_rows, TRUE AS refused FROM bronze
-    GROUP BY snapshot_date""",
+    f"""{WITH_LAKE}, partitions AS (SELECT snapshot_date, count(*) AS n_rows,
+      count(DISTINCT (event_id, region, map, agent)) AS present,
+      count(DISTINCT (event_id, region, map, agent)) FILTER (event_id = 1) AS headers
+      FROM bronze GROUP BY snapshot_date)
+    SELECT snapshot_date, n_rows, TRUE AS refused, present, headers, CAST(0 AS BIGINT) AS header_rows FROM partitions""",
 )
 def _(spark, sf_dir):
-    """Writing nothing keeps what is there, or is refused under the ``error`` policy."""
-    path = bronze_lake(spark, sf_dir)
-    nothing = lake_rows(spark, sf_dir).where(F.col("event_id") < 0)
+    """Writing nothing with ``skip`` and ``error`` leaves what is there. With ``header``, the partitions of an
+    event that has no rows get a file each: the audit finds them, and a read takes them as no rows."""
+    path, headers = bronze_lake(spark, sf_dir), f"{scratch_dir(spark, 'empty')}/bronze"
+    rows = bronze(spark, sf_dir)
+    nothing = rows.where(F.col("event_id") < 0)
     lake.write_bronze_csv(nothing, path, if_empty="skip")
     try:
         lake.write_bronze_csv(nothing, path, if_empty="error")
         refused = False
     except lake.EmptyWriteError:
         refused = True
-    rows = lake.read_bronze(spark, path)
-    return rows.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.lit(refused).alias("refused")
+    partitions = rows.select(*PARTITION_COLUMNS).distinct()
+    nobody = partitions.where(F.col("event_id") == 1).withColumn("event_id", F.lit(99))
+    lake.write_bronze_csv(nothing, headers, "header", asked=nobody, fresh=True)
+    # Every partition asked for is a scraped row of a ledger; the audit looks for its file.
+    expected = partitions.unionByName(nobody).select(
+        F.xxhash64(*PARTITION_COLUMNS).alias("id"), F.col("event_id").cast("bigint").alias("event_id"),
+        F.lit("1").alias("map_id"), F.col("map").alias("map_name"), F.col("region").alias("region_abbr"), "agent",
+        F.lit(True).alias("is_completed"), F.lit(True).alias("is_scrapped"),
+        F.col("snapshot_date").cast("timestamp").alias("last_scraped"),
+    )
+    files = None
+    for base in (path, headers):
+        root = f"{scratch_dir(spark, 'inventory')}/files"
+        listing.refresh_inventory(spark, root, base)
+        held = listing.partition_listing(listing.read_inventory(spark, root))
+        files = held if files is None else files.unionByName(held)
+    found = audit.ledger_lake_audit(expected, files).where("exists").groupBy("snapshot_date").agg(
+        F.count_if(F.col("event_id") != 99).alias("present"),
+        F.count_if(F.col("event_id") == 99).alias("headers"),
+    )
+    read = lake.read_bronze(spark, path).withColumn("header", F.lit(0)).unionByName(
+        lake.read_bronze(spark, headers).withColumn("header", F.lit(1))
+    )
+    counts = read.groupBy("snapshot_date").agg(
+        F.count_if(F.col("header") == 0).alias("n_rows"), F.lit(refused).alias("refused"),
+        F.count_if(F.col("header") == 1).alias("header_rows"),
     )
+    return counts.join(found, "snapshot_date")
 
 
 @query(
     "silver_parquet_sink",
     f"""{WITH_LAKE_SILVER} SELECT * EXCLUDE (_pipeline_version),
-    CASE WHEN snapshot_date = DATE '1998-01-01' THEN '1.0.1' ELSE '1.0.0' END AS _pipeline_version
+    CASE WHEN snapshot_date = DATE '1998-01-01' AND event_id = 1 THEN '1.0.1' ELSE '1.0.0' END AS _pipeline_version
     FROM silver""",
 )
 def _(spark, sf_dir):
-    """All snapshots are written, then one of them again under a new version."""
+    """All snapshots are written, then those of one event and date again under a new version."""
     path = f"{scratch_dir(spark, 'silver')}/silver"
     base = bronze_lake(spark, sf_dir)
-    lake.write_silver(silver_transform(lake.read_bronze(spark, base)), path)
+    lake.write_silver(silver_transform(lake.read_bronze(spark, base)), path, fresh=True)
     again = silver_transform(lake.read_bronze(spark, base, "1998-01-01"), "1.0.1")
-    lake.write_silver(again, path)
+    lake.write_silver(again.where(F.col("event_id") == 1), path)
     return lake.read_silver(spark, path).drop("_ingested_at", "_source_file")
 
 
 @query(
     "gold_parquet_sink",
-    f"""{WITH_LAKE_SILVER}, latest AS ({LATEST}) SELECT map, count(*) AS entities,
+    f"""{WITH_LATEST} SELECT map, count(*) AS entities,
     {distinct(players='player_id', agents='agent', events='event_id')},
     {COUNTS}, {KILL_DEATHS}, {RATES}, {CLUTCHES} FROM latest GROUP BY map""",
 )
 def _(spark, sf_dir):
     gold_path = f"{scratch_dir(spark, 'gold')}/gold"
-    silver = silver_transform(lake_rows(spark, sf_dir)).drop(*LINEAGE_COLUMNS)
+    silver = silver_transform(bronze(spark, sf_dir)).drop(*LINEAGE_COLUMNS)
     state = lake.write_gold(latest_state(silver), gold_path, "latest_state")
     table = gold_map_metrics(spark.read.parquet(state))
     return spark.read.parquet(lake.write_gold(table, gold_path, "map_metrics"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from snapstrata.operators import gold
+from snapstrata.session import scratch_dir
+from snapstrata.sources.lake import write_gold
 from workload.registry import query
 from workload.silver import WITH_LATEST, latest_silver
 
@@ -88,7 +90,9 @@ RANKED = ", ".join(
     SELECT * FROM totals JOIN spread USING (agent)""",
 )
 def _(spark, sf_dir):
-    return gold.gold_agent_distribution(latest_silver(spark, sf_dir))
+    """From the written latest state, as in the Gold job."""
+    state = write_gold(latest_silver(spark, sf_dir), scratch_dir(spark, "gold"), "latest_state")
+    return gold.gold_agent_distribution(spark.read.parquet(state))
 
 
 @query(

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from snapstrata.functions.paths import partition_path, path_snapshot
 from snapstrata.operators import audit, filters
 from snapstrata.operators import ledger as L
-from snapstrata.schemas import map_dimension, map_values_sql
+from snapstrata.operators.metrics import observed_counts
+from snapstrata.schemas import LEDGER_COLUMNS, map_dimension, map_values_sql
+from snapstrata.session import scratch_dir
+from snapstrata.sources import ledger_store
 from workload.registry import query
 from workload.views import FILES, LEDGER, LISTING, MESSAGES, ledger, run
 
@@ -224,3 +228,19 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return L.mark_scraped_guarded(ledger(spark, sf_dir), run(spark, sf_dir, MARKS))
+
+
+@query(
+    "mark_scraped_counts",
+    f"""{WITH_LEDGER}, marks AS (SELECT DISTINCT row_id FROM ({MARKS}) AS done)
+    SELECT count(*) FILTER ({PENDING}) AS changed, count(*) FILTER (NOT coalesce({PENDING}, FALSE)) AS refused
+    FROM ledger JOIN marks ON row_id = id""",
+)
+def _(spark, sf_dir):
+    """What is counted while the guarded marks are written: rows changed, and rows named in vain."""
+    seen = Observation("marks")
+    marked = L.mark_scraped_guarded(ledger(spark, sf_dir), run(spark, sf_dir, MARKS), with_named=True)
+    observed = L.observe_marks(marked, seen).select(*LEDGER_COLUMNS)
+    ledger_store.write_ledger(observed, f"{scratch_dir(spark, 'ledger')}/version=1")
+    counts = observed_counts(seen)
+    return spark.range(1).select(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("changed", "refused")])

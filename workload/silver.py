@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from snapstrata.operators import cleaning, filters, latest, metrics, snapshots
 from snapstrata.operators.gold import event_players
 from snapstrata.schemas import NATURAL_KEY
+from snapstrata.session import scratch_dir
+from snapstrata.sources import versions
 from workload.registry import query
 from workload.views import BRONZE, bronze
 
@@ -79,9 +81,19 @@ def latest_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_columns(rows)
 
 
-@query("dedup_latest", f"{WITH_DEDUP} SELECT * FROM dedup")
+# Two ingestions: the later one wins whatever the totals say.
+INGESTED = "CASE WHEN kills % 2 = 0 THEN TIMESTAMP '2024-01-02 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END"
+
+
+@query(
+    "dedup_latest",
+    f"""{WITH_BRONZE}, stamped AS (SELECT * EXCLUDE (agents), {INGESTED} AS _ingested_at FROM bronze)
+    SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+      PARTITION BY {KEY} ORDER BY _ingested_at DESC, {TIE}) AS rn FROM stamped) WHERE rn = 1""",
+)
 def _(spark, sf_dir):
-    return latest.dedup_latest(cleaning.drop_redundant_column(bronze(spark, sf_dir)))
+    rows = bronze(spark, sf_dir).withColumn("_ingested_at", F.expr(INGESTED))
+    return latest.dedup_latest(cleaning.drop_redundant_column(rows))
 
 
 @query("drop_redundant_column", f"{WITH_BRONZE} SELECT * EXCLUDE (agents) FROM bronze")
@@ -172,21 +184,6 @@ def _(spark, sf_dir):
     return silver(spark, sf_dir)
 
 
-@query(
-    "ingestion_timestamp",
-    f"""{WITH_BRONZE} SELECT snapshot_date, count(*) AS n_rows, TRUE AS all_stamped,
-    CAST(1 AS BIGINT) AS n_stamps FROM bronze GROUP BY snapshot_date""",
-)
-def _(spark, sf_dir):
-    """The time itself differs per run; what holds is one value for all rows."""
-    rows = bronze(spark, sf_dir).withColumn("_ingested_at", F.current_timestamp())
-    return rows.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.bool_and(F.col("_ingested_at").isNotNull()).alias("all_stamped"),
-        F.count_distinct("_ingested_at").alias("n_stamps"),
-    )
-
-
 def _null_profile_sql() -> str:
     columns = (
         "player_id, player, org, rounds_played, rating, average_combat_score, kill_deaths, "
@@ -237,6 +234,20 @@ def _(spark, sf_dir):
     return latest.latest_state(silver(spark, sf_dir))
 
 
+@query("latest_state_advanced", f"{WITH_LATEST} SELECT * FROM latest")
+def _(spark, sf_dir):
+    """The stored state advanced date by date, late ones and a repeated one among them."""
+    root = scratch_dir(spark, "state")
+    silver(spark, sf_dir).write.partitionBy("snapshot_date").parquet(f"{root}/silver")
+    rows = spark.read.parquet(f"{root}/silver")
+    dates = [r[0] for r in rows.select("snapshot_date").distinct().orderBy(F.xxhash64("snapshot_date")).collect()]
+    state = versions.publish(spark, f"{root}/state", latest.latest_state(rows.where(F.col("snapshot_date") == dates[0])), str(dates[0]))
+    for date in [*dates[1:], dates[0]]:
+        table = latest.advance_state(spark.read.parquet(state.path), rows, date)
+        state = versions.publish(spark, f"{root}/state", table, str(date))
+    return spark.read.parquet(state.path)
+
+
 def _lag(column: str) -> str:
     return f"lag({column}) OVER (PARTITION BY {ENTITY} ORDER BY snapshot_date)"
 

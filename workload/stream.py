@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.functions.messages import base64_line, decode_message, encode_completion
+from snapstrata.plans import ledger_job
 from snapstrata.session import scratch_dir
+from snapstrata.sources.ledger_store import read_ledger
 from snapstrata.streaming import completion as C
 from workload.registry import query
 from workload.views import LEDGER, MESSAGE_BODIES, MESSAGES, ledger, run
@@ -122,12 +124,14 @@ def _(spark, sf_dir):
     FROM ledger LEFT JOIN done ON row_id = id""",
 )
 def _(spark, sf_dir):
+    """The ledger version written after the stream, which then has no batch folders left."""
     root = scratch_dir(spark, "apply")
     stream = C.message_files(spark, message_folder(spark, sf_dir, root), files_per_batch=1)
     writer = C.completion_apply(stream, f"{root}/outcomes", f"{root}/checkpoint")
+    ledger_job.start_ledger(spark, f"{root}/ledger", ledger(spark, sf_dir))
     writer.trigger(availableNow=True).start().awaitTermination()
-    outcomes = C.read_outcomes(spark, f"{root}/outcomes")
-    return C.current_ledger(ledger(spark, sf_dir), outcomes).select(
+    refreshed = ledger_job.refresh_ledger(spark, f"{root}/ledger", f"{root}/outcomes")
+    return read_ledger(spark, refreshed.version.path).select(
         "id", "event_id", "is_completed", "is_scrapped",
         F.col("last_scraped").isNotNull().alias("has_time"),
     )

@@ -68,18 +68,6 @@ SELECT
 {_DIMENSIONS}
 """
 
-# The same rows with fewer distinct path keys: as a lake, 420 folders instead of 27,000.
-LAKE = f"""
-SELECT player_id, player, org, agents, rounds_played, rating, average_combat_score, kill_deaths,
-  kill_assists_survived_traded, average_damage_per_round, kills_per_round, assists_per_round,
-  first_kills_per_round, first_deaths_per_round, headshot_percentage, clutch_success_percentage,
-  clutches_won_played_ratio, max_kills_in_single_map, kills, deaths, assists, first_kills,
-  first_deaths, event_id % 2 AS event_id, region,
-  concat('map_', CAST(assists % 3 AS STRING)) AS map,
-  concat('agent_', CAST(deaths % 2 AS STRING)) AS agent, snapshot_date
-FROM ({BRONZE}) AS b
-"""
-
 # Ledger ids are order keys; map ids outside the dimension have no name.
 LEDGER = f"""
 SELECT o.o_orderkey AS id, o.o_custkey % 8 AS event_id,
@@ -199,22 +187,26 @@ def read_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Data
     }
 
 
+_PRIVATE = "snapstrata_workload"
+
+
 def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run a text over the given tables."""
+    """Run a text over the given tables. They get names of their own, so no view of the session is replaced."""
     named = set(re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", sql))
     needed = [t for t in TABLES if t in named]
     for name, table in read_tables(spark, sf_dir, *needed).items():
-        table.createOrReplaceTempView(name)
-    return spark.sql(sql)
+        table.createOrReplaceTempView(f"{_PRIVATE}_{name}")
+    private = re.sub(
+        r"\b(FROM|JOIN)(\s+)(\w+)",
+        lambda m: f"{m[1]}{m[2]}{_PRIVATE}_{m[3]}" if m[3] in needed else m[0],
+        sql,
+    )
+    return spark.sql(private)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, BRONZE)
 
 
-def lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir, LAKE)
-
-
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, LEDGER)
