@@ -13,12 +13,14 @@ import unicodedata
 
 import numpy as np
 
-from snapstrata.llm.words import _BYTE_VALUES, _POWERS, MAX_POWER, mix
+from snapstrata.llm.words import _BYTE_VALUES, mix, powers
 
 #: Pieces handed to the tokenizer at once; its results are large objects.
 AT_ONCE = 1 << 14
 #: Distinct pieces that a worker remembers; beyond that it starts anew.
 REMEMBERED = 500_000
+#: Bytes of all remembered pieces, which matters where pieces are very long.
+REMEMBERED_BYTES = 1 << 25
 
 BLANK, LETTER, NUMBER, OTHER = range(4)
 # White space by the pattern language's \s, and the cut-off endings.
@@ -40,22 +42,37 @@ def _kinds() -> tuple[np.ndarray, np.ndarray]:
     return kinds, unassigned
 
 
-def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of UTF-8 bytes and the byte at which each begins."""
+def first_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each UTF-8 character and the place where it stands."""
+    if not (data >= 0x80).any():
+        return data, np.arange(len(data))
     at = np.flatnonzero((data & 0xC0) != 0x80)
-    codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
-    return codes, at
+    return data[at], at
 
 
-def piece_starts(codes: np.ndarray, first: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    """Whether a piece begins at each code point; ``first`` marks where texts begin.
+def long_characters(data: np.ndarray, codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which characters have several bytes, and their code points."""
+    several = np.flatnonzero(codes >= 0xC0)
+    places, lead = at[several], codes[several].astype(np.uint32)
+    sizes = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    points = lead & np.where(sizes == 2, 0x1F, np.where(sizes == 3, 0x0F, 0x07)).astype(np.uint32)
+    for i in (1, 2, 3):
+        more = sizes > i
+        following = data[places[more] + i].astype(np.uint32) & 0x3F
+        points[more] = (points[more] << np.uint32(6)) | following
+    return several, points
+
+
+def piece_starts(codes: np.ndarray, first: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Whether a piece begins at each character; ``first`` marks where texts begin.
+
+    ``codes`` are first bytes, ``kind`` the kinds of the characters.
 
     A piece is a run of letters, of numbers or of other signs, with one blank before
     it; the rest of white space before it, or all at the end of a text, is a piece; an
     apostrophe at the beginning of a piece takes its ending along.
     """
     n = len(codes)
-    kind = kinds[codes]
     white = kind == BLANK
     before_white, before_blank, before_same = (np.zeros(n, bool) for _ in range(3))
     before_white[1:], before_blank[1:] = white[:-1], codes[:-1] == 0x20
@@ -116,16 +133,21 @@ class PieceEncoder:
         self.entries = np.zeros(0, np.int64)
         self.begins = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        # The bytes of each entry, which prove a hit.
+        self.spelt, self.spelt_at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end_id``, and the number for each text."""
         rows = len(offsets) - 1
         if not len(data):
             return np.full(rows, end_id, np.uint32), np.ones(rows, np.int64)
-        codes, at = code_points(data)
-        whole = self._whole_texts(data, offsets, codes, at)
+        codes, at = first_bytes(data)
+        several, points = long_characters(data, codes, at)
+        kind = self.kinds[codes]
+        kind[several] = self.kinds[points]
+        whole = self._whole_texts(data, offsets, at[several[self.unassigned[points]]])
         if not whole.any():
-            return self._cut(data, offsets, codes, at, end_id)
+            return self._cut(data, offsets, codes, kind, at, end_id)
         ids, counts = [], []
         turns = np.flatnonzero(whole[1:] != whole[:-1]) + 1
         for i, j in zip([0, *turns.tolist()], [*turns.tolist(), rows], strict=True):
@@ -142,15 +164,16 @@ class PieceEncoder:
             else:
                 low, high = np.searchsorted(at, (begin, end))
                 found = self._cut(
-                    data[begin:end], offsets[i : j + 1] - begin, codes[low:high], at[low:high] - begin, end_id
+                    data[begin:end], offsets[i : j + 1] - begin, codes[low:high], kind[low:high],
+                    at[low:high] - begin, end_id,
                 )
                 ids.append(found[0])
                 counts.append(found[1])
         return np.concatenate(ids), np.concatenate(counts)
 
-    def _whole_texts(self, data, offsets, codes, at) -> np.ndarray:
-        """Whether each text holds an added token or an unassigned code point."""
-        places = [at[self.unassigned[codes]]]
+    def _whole_texts(self, data, offsets, unassigned) -> np.ndarray:
+        """Whether each text holds an added token or one of the unassigned code points."""
+        places = [unassigned]
         raw = data.tobytes()
         for token in self.added:
             found, place = [], raw.find(token)
@@ -162,14 +185,14 @@ class PieceEncoder:
         whole[np.searchsorted(offsets, np.concatenate(places), "right") - 1] = True
         return whole
 
-    def _cut(self, data, offsets, codes, at, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def _cut(self, data, offsets, codes, kind, at, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         rows = len(offsets) - 1
         first = np.zeros(len(codes), bool)
         first[np.searchsorted(at, offsets[:-1][offsets[:-1] < len(data)])] = True
-        starts = at[piece_starts(codes, first, self.kinds)]
+        starts = at[piece_starts(codes, first, kind)]
         sizes = np.diff(starts, append=len(data))
         place = np.arange(len(data)) - np.repeat(starts, sizes)
-        terms = _BYTE_VALUES[data] * _POWERS[place & (MAX_POWER - 1)]
+        terms = _BYTE_VALUES[data] * powers(place)
         hashes = mix(np.add.reduceat(terms, starts) + sizes.astype(np.uint64))
         entry = self._entries(hashes, data, starts, sizes)
         lengths = (self.begins[1:] - self.begins[:-1])[entry]
@@ -184,8 +207,9 @@ class PieceEncoder:
         return out, counts + 1
 
     def _entries(self, hashes, data, starts, sizes) -> np.ndarray:
+        """The remembered entry of each piece; what only shares its hash gets one of its own."""
         unique, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(unique) > REMEMBERED:
+        if len(self.keys) + len(unique) > REMEMBERED or len(self.spelt) > REMEMBERED_BYTES:
             self.forget()
         at = np.searchsorted(self.keys, unique)
         known = np.zeros(len(unique), bool)
@@ -193,19 +217,49 @@ class PieceEncoder:
             known = self.keys[np.minimum(at, len(self.keys) - 1)] == unique
         new = where[~known]
         if len(new):
-            count, flat, sizes_of = len(self.begins) - 1, [self.flat], []
-            for i in range(0, len(new), AT_ONCE):
-                own = new[i : i + AT_ONCE]
-                texts = [
-                    data[s : s + n].tobytes().decode("utf-8")
-                    for s, n in zip(starts[own].tolist(), sizes[own].tolist(), strict=True)
-                ]
-                found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                flat.append(np.fromiter((i for x in found for i in x), np.uint32))
-                sizes_of += map(len, found)
-            self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes_of)))
-            self.flat = np.concatenate(flat)
+            first = self._learn(data, starts[new], sizes[new])
             self.keys = np.insert(self.keys, at[~known], unique[~known])
-            self.entries = np.insert(self.entries, at[~known], count + np.arange(len(new)))
+            self.entries = np.insert(self.entries, at[~known], first + np.arange(len(new)))
             at = np.searchsorted(self.keys, unique)
-        return self.entries[at][back]
+        entry = self.entries[at][back]
+        other = np.flatnonzero(~self._spelt_alike(entry, data, starts, sizes))
+        if len(other):
+            entry[other] = self._learn(data, starts[other], sizes[other]) + np.arange(len(other))
+        return entry
+
+    def _learn(self, data, starts, sizes) -> int:
+        """Encode pieces, remember their bytes and ids, and return the first of their entries."""
+        count, flat, spelt, sizes_of = len(self.begins) - 1, [self.flat], [self.spelt], []
+        for i in range(0, len(starts), AT_ONCE):
+            raw = [
+                data[s : s + n].tobytes()
+                for s, n in zip(starts[i : i + AT_ONCE].tolist(), sizes[i : i + AT_ONCE].tolist(), strict=True)
+            ]
+            texts = [r.decode("utf-8") for r in raw]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            flat.append(np.fromiter((i for x in found for i in x), np.uint32))
+            spelt.append(np.frombuffer(b"".join(raw), np.uint8))
+            sizes_of += map(len, found)
+        self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes_of)))
+        self.flat = np.concatenate(flat)
+        self.spelt = np.concatenate(spelt)
+        self.spelt_at = np.concatenate((self.spelt_at, self.spelt_at[-1] + np.cumsum(sizes)))
+        return count
+
+    def _spelt_alike(self, entry, data, starts, sizes) -> np.ndarray:
+        """Whether each piece has the bytes of its entry."""
+        alike = np.diff(self.spelt_at)[entry] == sizes
+        if not alike.all():
+            # Bytes are compared below for pieces of equal length only.
+            out = alike.copy()
+            out[alike] = [
+                data[s : s + n].tobytes() == self.spelt[b : b + n].tobytes()
+                for s, n, b in zip(starts[alike], sizes[alike], self.spelt_at[entry[alike]], strict=True)
+            ]
+            return out
+        shift = self.spelt_at[entry] - starts
+        differs = self.spelt[np.arange(len(data)) + np.repeat(shift, sizes)] != data
+        if not differs.any():
+            return alike
+        alike[np.searchsorted(starts, np.flatnonzero(differs), "right") - 1] = False
+        return alike

@@ -25,37 +25,54 @@ BLOCKS = (
 )
 
 
-def tokenize_sorted(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``(part, doc_id, begin, n_tokens, ids)``: documents in ascending id order, tokenized.
-
-    Parts are ranges of ids; ``begin`` counts the ids before a document within its
-    part. Rows with a null id come first, rows that share an id go by text.
-    """
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+    """``(doc_id, n_tokens, ids)`` of every document, where its row is read."""
 
     def run(batches):
         encoder = PieceEncoder.shared(tokenizer)
-        part, begin = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = batch.column("doc_id")
             for first, data, offsets in text_chunks(batch.column("text")):
                 tokens, sizes = encoder.encode(data, offsets, end_id)
-                ends = np.cumsum(sizes)
-                rows = len(sizes)
-                raw = tokens.astype("<u4" if encoder.wide else "<u2").tobytes()
-                width = 4 if encoder.wide else 2
-                cut = [raw[(e - s) * width : e * width] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
+                kind, width = ("<u4", 4) if encoder.wide else ("<u2", 2)
+                ends = np.concatenate(([0], np.cumsum(sizes))) * width
+                cut = pa.Array.from_buffers(
+                    pa.large_binary(), len(sizes),
+                    [None, pa.py_buffer(ends.astype("<i8")), pa.py_buffer(tokens.astype(kind))],
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * rows, pa.int32()), ids.slice(first, rows), pa.array(begin + ends - sizes),
-                     pa.array(sizes), pa.array(cut, pa.binary())],
-                    ["part", "doc_id", "begin", "n_tokens", "ids"],
+                    [batch.column("doc_id").slice(first, len(sizes)), pa.array(sizes), cut.cast(pa.binary())],
+                    ["doc_id", "n_tokens", "ids"],
                 )
-                begin += int(ends[-1])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+
+
+def in_order(tokens: DataFrame) -> DataFrame:
+    """``(part, doc_id, begin, n_tokens, ids)`` in ascending id order; what is sorted are ids, not texts.
+
+    Parts are ranges of document ids; ``begin`` counts the ids before a document within its
+    part. Rows with a null id come first; rows that share an id, however many, go by a hash of
+    their ids and then by the ids.
+    """
+    keyed = tokens.withColumn("key", F.xxhash64("ids"))
+    ordered = keyed.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key", "ids").drop("key")
+
+    def run(batches):
+        part, begin = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            sizes = batch.column("n_tokens").to_numpy()
+            ends = begin + np.cumsum(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(sizes), part, np.int32)), batch.column("doc_id"), pa.array(ends - sizes),
+                 batch.column("n_tokens"), batch.column("ids")],
+                ["part", "doc_id", "begin", "n_tokens", "ids"],
+            )
+            begin = int(ends[-1]) if len(ends) else begin
 
     return ordered.mapInArrow(run, TOKENS)
 
 
-def _ids(raw: bytes, n: int) -> np.ndarray:
+def _ids(raw: bytes | memoryview, n: int) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4")
 
 
@@ -65,11 +82,17 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw, n in zip(batch.column("ids"), batch.column("n_tokens"), strict=True):
-                own = np.bincount(_ids(raw.as_py(), n.as_py()))
-                if len(own) > len(total):
-                    total = np.concatenate((total, np.zeros(len(own) - len(total), np.int64)))
-                total[: len(own)] += own
+            column = batch.column("ids").cast(pa.large_binary())
+            sizes = batch.column("n_tokens").to_numpy()
+            offsets = np.frombuffer(column.buffers()[1], "<i8")[column.offset : column.offset + len(column) + 1]
+            if not len(sizes):
+                continue
+            # All documents of a file have ids of one width.
+            raw = memoryview(column.buffers()[2])[int(offsets[0]) : int(offsets[-1])]
+            own = np.bincount(_ids(raw, int(sizes.sum())))
+            if len(own) > len(total):
+                total = np.concatenate((total, np.zeros(len(own) - len(total), np.int64)))
+            total[: len(own)] += own
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(total[there])], ["id", "n"])
 
@@ -130,13 +153,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     documents. A null or empty text is its end id alone; an empty table gives empty
     files.
     """
-    tokens = stored(tokenize_sorted(docs, tokenizer, end_id), "token-ids")
+    encoded = stored(tokenize(docs, tokenizer, end_id), "token-ids")
+    tokens = stored(in_order(encoded), "token-order")
     parts = tokens.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each range of ids: the running sum over them is small.
     offsets = parts.select(F.col("part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     placed = tokens.join(offsets, "part").withColumn("start", F.col("base") + F.col("begin"))
-    counted = id_counts(tokens).toArrow()
+    counted = id_counts(encoded).toArrow()
     ids = counted.column("id").to_numpy()
     dense = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
     dense[ids] = counted.column("n").to_numpy()

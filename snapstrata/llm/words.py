@@ -9,11 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20
-MAX_POWER = 1 << 12
 
 _rng = np.random.Generator(np.random.PCG64(20240101))
 _BYTE_VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-_POWERS = np.cumprod(np.full(MAX_POWER, 0x9E3779B97F4A7C15, np.uint64))
+_POWERS = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64))
 
 _ALL = np.arange(256)
 #: Words are runs of bytes other than blank and 9 to 13.
@@ -26,6 +25,18 @@ ALPHANUMERIC = (
 LOWER = np.where((_ALL >= 65) & (_ALL <= 90), _ALL + 32, _ALL).astype(np.uint8)
 
 
+def powers(place: np.ndarray) -> np.ndarray:
+    """The power of an odd number that stands for each place of a word, however long it is."""
+    low = _POWERS[place & (len(_POWERS) - 1)]
+    high = place >> 12
+    most = int(high.max(initial=0))
+    if most:
+        steps = np.ones(most + 1, np.uint64)
+        steps[1:] = np.cumprod(np.full(most, _POWERS[-1], np.uint64))
+        low *= steps[high]
+    return low
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed 64-bit finalizer; ``x`` is overwritten."""
     x ^= x >> np.uint64(30)
@@ -75,7 +86,7 @@ def hash_words(
     sizes = np.diff(at, append=len(letters))
     place = np.arange(len(letters)) - np.repeat(at, sizes)
     terms = _BYTE_VALUES[letters]
-    terms *= _POWERS[place & (MAX_POWER - 1)]
+    terms *= powers(place)
     hashes = np.add.reduceat(terms, at)
     hashes += sizes.astype(np.uint64)
     return mix(hashes), rows
