@@ -35,7 +35,7 @@ LEADERS = 2
 GROWTH = 4
 SEED = 11
 #: Longs of a text's parity bits.
-PARITY_LONGS = 8
+PARITY_LONGS = 24
 
 _rng = np.random.Generator(np.random.PCG64(SEED))
 _FACTORS = _rng.integers(1 << 40, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
