@@ -85,8 +85,20 @@ def labelled_sample(labels: DataFrame, train: Column, rows_per_class: int) -> Da
     return parts[0].unionByName(parts[1])
 
 
+class ScaledRows:
+    """Scaled indicators of each row, of unit length, made when they are asked for: kept, they would
+    take as much memory again as the rows."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        scaled = self.ratio[self.rows[i]]
+        return (scaled / (np.sqrt(scaled @ scaled) or 1.0)).astype(np.float32)
+
+
 def dual_coordinate_descent(
-    rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, size: int,
+    rows: list[np.ndarray], values: list[np.ndarray] | ScaledRows, signs: np.ndarray, size: int,
     cost: float = 1.0, epochs: int = 15,
 ) -> tuple[np.ndarray, float]:
     """Linear support vectors with hinge loss; rows are sparse, a constant 1 is the bias."""
@@ -97,13 +109,14 @@ def dual_coordinate_descent(
     for _ in range(epochs):
         largest = 0.0
         for i in rng.permutation(len(rows)):
-            gradient = signs[i] * (weight[rows[i]] @ values[i] + bias) - 1.0
+            own = values[i]
+            gradient = signs[i] * (weight[rows[i]] @ own + bias) - 1.0
             new = min(max(alpha[i] - gradient / squares[i], 0.0), cost)
             step = (new - alpha[i]) * signs[i]
             if step:
                 largest = max(largest, abs(step))
                 alpha[i] = new
-                weight[rows[i]] += step * values[i]
+                weight[rows[i]] += step * own
                 bias += step
         if largest < 1e-3:
             break
@@ -138,9 +151,14 @@ def fit_quality(
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
     found = chosen.mapInArrow(_extract, "label int, features binary").toArrow()
     label = found.column("label").to_numpy().astype(np.int64)
-    texts = found.column("features").to_pylist()
-    order = sorted(range(len(texts)), key=lambda i: (label[i], texts[i]))
-    label, rows = label[order], [np.frombuffer(texts[i], "<u4") for i in order]
+    # Views into the one buffer that came from the tasks.
+    column = found.column("features").combine_chunks().cast(pa.large_binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, "<i8")[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    rows = [data[a:b].view("<u4") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    order = sorted(range(len(rows)), key=lambda i: (label[i], rows[i].tobytes()))
+    label, rows = label[order], [rows[i] for i in order]
     size, n = 1 << BITS, np.bincount(label, minlength=2)
     nothing = np.zeros(size, np.float32)
     if min(n) == 0:
@@ -150,7 +168,7 @@ def fit_quality(
     for c, r in zip(label, rows, strict=True):
         counts[c, r] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    values = [(ratio[r] / (np.sqrt(ratio[r] @ ratio[r]) or 1.0)).astype(np.float32) for r in rows]
+    values = ScaledRows(rows, ratio)
     signs = np.where(label == 1, 1.0, -1.0)
     weight, bias = dual_coordinate_descent(rows, values, signs, size)
     margins = np.array([weight[r] @ v for r, v in zip(rows, values, strict=True)]) + bias
