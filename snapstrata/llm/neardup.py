@@ -32,7 +32,7 @@ FIRST_SKETCHES = 4
 #: Leaders of a group in the first full turn, on average, and how many times as many
 #: members have led after each further turn.
 LEADERS = 2
-GROWTH = 4
+GROWTH = 16
 SEED = 11
 #: Longs of a text's parity bits.
 PARITY_LONGS = 24
