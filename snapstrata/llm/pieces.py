@@ -16,7 +16,8 @@ import numpy as np
 from snapstrata.llm.words import _BYTE_VALUES, mix, powers
 
 #: Pieces handed to the tokenizer at once; its results are large objects.
-AT_ONCE = 1 << 14
+AT_ONCE = 1 << 11
+APART = "\x00"
 #: Distinct pieces that a worker remembers; beyond that it starts anew.
 REMEMBERED = 500_000
 #: Bytes of all remembered pieces, which matters where pieces are very long.
@@ -112,12 +113,17 @@ class PieceEncoder:
         # Spark runs a worker on every core; threads within a worker only add work.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
         self.library = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        bytes_only = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tokenizer.pre_tokenizer = bytes_only
+        # Many pieces in one text, set apart by a sign that none of them holds: one result for all of them.
+        self.joined = Tokenizer.from_file(path)
+        self.joined.pre_tokenizer = Sequence([Split(APART, "isolated"), bytes_only])
+        self.apart = self.joined.encode(APART, add_special_tokens=False).ids
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kinds, self.unassigned = _kinds()
         self.forget()
@@ -229,23 +235,37 @@ class PieceEncoder:
 
     def _learn(self, data, starts, sizes) -> int:
         """Encode pieces, remember their bytes and ids, and return the first of their entries."""
-        count, flat, spelt, sizes_of = len(self.begins) - 1, [self.flat], [self.spelt], []
+        count, flat, spelt, sizes_of = len(self.begins) - 1, [self.flat], [self.spelt], [np.zeros(0, np.int64)]
         for i in range(0, len(starts), AT_ONCE):
             raw = [
                 data[s : s + n].tobytes()
                 for s, n in zip(starts[i : i + AT_ONCE].tolist(), sizes[i : i + AT_ONCE].tolist(), strict=True)
             ]
-            texts = [r.decode("utf-8") for r in raw]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            flat.append(np.fromiter((i for x in found for i in x), np.uint32))
+            found, lengths = self._ids_of(raw)
+            flat.append(found)
+            sizes_of.append(lengths)
             spelt.append(np.frombuffer(b"".join(raw), np.uint8))
-            sizes_of += map(len, found)
+        sizes_of = np.concatenate(sizes_of)
         self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes_of)))
         self.flat = np.concatenate(flat)
         self.spelt = np.concatenate(spelt)
         self.spelt_at = np.concatenate((self.spelt_at, self.spelt_at[-1] + np.cumsum(sizes)))
         return count
 
+    def _ids_of(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after the other, and how many each has."""
+        if len(self.apart) == 1:
+            text = APART.join(r.decode("utf-8") for r in raw)
+            (encoding,) = self.joined.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(encoding.ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.apart[0])
+            if len(cuts) == len(raw) - 1:
+                lengths = np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1
+                return np.delete(ids, cuts), lengths
+        # A piece holds the sign itself, or the vocabulary has no id of its own for it.
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in raw], add_special_tokens=False)]
+        return np.fromiter((i for x in found for i in x), np.uint32), np.array(list(map(len, found)), np.int64)
+
     def _spelt_alike(self, entry, data, starts, sizes) -> np.ndarray:
         """Whether each piece has the bytes of its entry."""
         alike = np.diff(self.spelt_at)[entry] == sizes

@@ -20,7 +20,7 @@ END_ID = 2
 
 TOKENS = "part int, doc_id long, begin long, n_tokens long, ids binary"
 BLOCKS = (
-    "part int, start long, n long, lanes int, doc_ids array<bigint>, sizes array<bigint>, "
+    "part int, begin long, n long, lanes int, doc_ids array<bigint>, sizes array<bigint>, "
     "states binary, offsets array<bigint>, stream binary, checksum long"
 )
 
@@ -130,7 +130,7 @@ def _blocks(tokens: DataFrame, table: FrequencyTable) -> DataFrame:
 
         size = 0
         for batch in batches:
-            columns = [batch.column(c) for c in ("part", "doc_id", "start", "n_tokens", "ids")]
+            columns = [batch.column(c) for c in ("part", "doc_id", "begin", "n_tokens", "ids")]
             for part, doc, start, n, raw in zip(*columns, strict=True):
                 start, n = start.as_py(), n.as_py()
                 if held and (size >= BLOCK_TOKENS or held[0][0] != part.as_py() or held[-1][2] + held[-1][3] != start):
@@ -141,26 +141,20 @@ def _blocks(tokens: DataFrame, table: FrequencyTable) -> DataFrame:
         if held:
             yield flush()
 
-    return tokens.select("part", "doc_id", "start", "n_tokens", "ids").mapInArrow(run, BLOCKS)
+    return tokens.select("part", "doc_id", "begin", "n_tokens", "ids").mapInArrow(run, BLOCKS)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Write the ids of all documents below ``path``, in ascending id order.
 
     ``path/table`` holds the shared frequencies, ``path/blocks`` one row for each
-    block: its first position among all ids, its documents and their sizes, and the
-    coded ids with checkpoints and a checksum. Frequencies count all ids of all
-    documents. A null or empty text is its end id alone; an empty table gives empty
-    files.
+    block: its part and first position within that, its documents and their sizes, and the
+    coded ids with checkpoints and a checksum. Parts follow each other by number. Frequencies
+    count all ids of all documents. A null or empty text is its end id alone; an empty table
+    gives empty files.
     """
-    encoded = stored(tokenize(docs, tokenizer, end_id), "token-ids")
-    tokens = stored(in_order(encoded), "token-order")
-    parts = tokens.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each range of ids: the running sum over them is small.
-    offsets = parts.select(F.col("part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = tokens.join(offsets, "part").withColumn("start", F.col("base") + F.col("begin"))
-    counted = id_counts(encoded).toArrow()
+    tokens = stored(tokenize(docs, tokenizer, end_id), "token-ids")
+    counted = id_counts(tokens).toArrow()
     ids = counted.column("id").to_numpy()
     dense = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
     dense[ids] = counted.column("n").to_numpy()
@@ -169,7 +163,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     rows = pa.table({"id": pa.array(np.flatnonzero(freq).astype(np.int32)), "freq": pa.array(freq[freq > 0])})
     with shuffle_cleanup(spark):
         spark.createDataFrame(rows).coalesce(1).write.parquet(f"{path}/table")
-        _blocks(placed, FrequencyTable.of(freq)).write.parquet(f"{path}/blocks")
+        _blocks(in_order(tokens), FrequencyTable.of(freq)).write.parquet(f"{path}/blocks")
 
 
 class DamagedBlock(ValueError):
@@ -204,6 +198,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
+    parts = blocks.groupBy("part").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each range of ids: the running sum over them is small.
+    offsets = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    blocks = blocks.join(offsets, "part").withColumn("start", F.col("base") + F.col("begin")).drop("part", "begin", "base")
     return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
