@@ -42,7 +42,7 @@ PARTITION_TYPES: list[tuple[str, str]] = [
 ]
 PARTITION_COLUMNS: list[str] = [name for name, _ in PARTITION_TYPES]
 
-# One row per natural key in Silver; an entity is followed over its snapshots.
+# Fixed values. One row per natural key in Silver; an entity is followed over its snapshots.
 NATURAL_KEY: list[str] = ["player_id", "snapshot_date", "agent", "map", "event_id", "region"]
 ENTITY_KEY: list[str] = [c for c in NATURAL_KEY if c != "snapshot_date"]
 
@@ -51,6 +51,7 @@ CUMULATIVE_COLUMNS: list[str] = [
     "kills", "deaths", "assists", "rounds_played", "first_kills", "first_deaths",
 ]
 
+# Columns of Silver in their order.
 SILVER_COLUMNS: list[str] = [
     "player_id", "player", "org", "rounds_played", "rating", "average_combat_score",
     "kill_deaths", "kill_assists_survived_traded", "average_damage_per_round",
@@ -63,8 +64,10 @@ SILVER_COLUMNS: list[str] = [
 ]
 LINEAGE_COLUMNS: list[str] = ["_ingested_at", "_source_file", "_pipeline_version"]
 
+# Fixed value.
 PIPELINE_VERSION = "1.0.0"
 
+# Columns of the ledger in their order.
 LEDGER_COLUMNS: list[str] = [
     "id", "event_id", "map_id", "map_name", "region_abbr", "agent",
     "is_completed", "is_scrapped", "last_scraped",
