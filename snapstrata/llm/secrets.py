@@ -62,10 +62,7 @@ def located(text: Column, pattern: str, group: int = 0) -> Column:
     steps = F.zip_with(F.split(text, pattern, -1), both, lambda gap, m: F.struct(
         F.length(gap).alias("gap"), m["hit"].alias("hit"), m["value"].alias("value"),
     ))
-    state = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,end:int,hit:string,value:string>>").alias("found"),
-    )
+    spans = "array<struct<start:int,end:int,hit:string,value:string>>"
 
     def advance(s: Column, m: Column) -> Column:
         begin = s["at"] + m["gap"]
@@ -74,7 +71,32 @@ def located(text: Column, pattern: str, group: int = 0) -> Column:
         found = F.when(m["hit"].isNotNull(), F.concat(s["found"], F.array(span))).otherwise(s["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    return F.aggregate(steps, state, advance, lambda s: s["found"])
+    def piece(s: Column, own: Column) -> Column:
+        # An array grows by copying it, so matches are gathered in short arrays first.
+        start = F.struct(s["at"].alias("at"), F.array().cast(spans).alias("found"))
+        done = F.aggregate(own, start, advance)
+        return bound(done, lambda d: F.struct(d["at"].alias("at"), F.concat(s["found"], F.array(d["found"])).alias("found")))
+
+    state = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{spans}>").alias("found"))
+    return F.flatten(F.aggregate(pieces(steps), state, piece, lambda s: s["found"]))
+
+
+def bound(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, wherever it is used inside."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+#: Elements of an array that are looked at together.
+PIECE = 256
+
+
+def pieces(array: Column) -> Column:
+    """The array cut into arrays of ``PIECE`` elements."""
+    def cut(a: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(a) / PIECE).cast("int"), F.lit(1)) - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(a, k * PIECE + 1, F.lit(PIECE)))
+
+    return bound(array, cut)
 
 
 def _ranked(spans: Column, rank: int, kind: str) -> Column:
@@ -83,41 +105,75 @@ def _ranked(spans: Column, rank: int, kind: str) -> Column:
     ))
 
 
-def _entropy_term(c: Column) -> Column:
-    c = c.cast("double")
-    return F.when(c > 1, F.round(c * F.log2(c) * SCALE)).otherwise(F.lit(0.0)).cast("bigint")
+#: Characters of a candidate. Counts of twelve of them lie in one long, five bits each.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+COUNT_BITS, PER_LONG = 5, 12
+LONGS = -(-(len(ALPHABET) + 1) // PER_LONG)
 
 
 def least_spread(candidate: Column, window: int) -> Column:
     """The least sum of c * log2(c), in millionths, that any window of the candidate has.
 
     Counts are kept from one window to the next: the entering character adds one,
-    the leaving one takes one away, and only their two terms of the sum change.
+    the leaving one takes one away, and only their two terms of the sum change. A window
+    has at most 31 characters; those outside ``ALPHABET`` count as one. Each character
+    costs the same however long the candidate is.
     """
+    if window >= 1 << COUNT_BITS:
+        raise ValueError(f"a window has fewer than {1 << COUNT_BITS} characters")
+    terms = F.array(*[F.lit(round(SCALE * c * math.log2(c)) if c else 0) for c in range(window + 1)])
+    counts = [f"c{i}" for i in range(LONGS)]
     start = F.struct(
-        F.create_map().cast("map<string,int>").alias("counts"),
-        F.lit(0).cast("bigint").alias("total"),
-        F.lit(None).cast("bigint").alias("least"),
+        *[F.lit(0).cast("bigint").alias(c) for c in counts], F.lit(0).cast("bigint").alias("total"),
+        F.lit(0).alias("n"), F.lit(None).cast("bigint").alias("least"),
     )
 
-    def put(counts: Column, key: Column, n: Column) -> Column:
-        others = F.map_filter(counts, lambda k, v: (k != key))
-        return F.map_concat(others, F.create_map(key, n))
-
-    def advance(s: Column, i: Column) -> Column:
-        enter, leave = F.substring(candidate, i, F.lit(1)), F.substring(candidate, i - window, F.lit(1))
-        full = i > window
-        c = F.coalesce(F.try_element_at(s["counts"], leave), F.lit(0))
-        counts = F.when(full, put(s["counts"], leave, c - 1)).otherwise(s["counts"])
-        total = s["total"] + F.when(full, _entropy_term(c - 1) - _entropy_term(c)).otherwise(F.lit(0))
-        e = F.coalesce(F.try_element_at(counts, enter), F.lit(0))
-        total = total + _entropy_term(e + 1) - _entropy_term(e)
+    def place(code: Column) -> tuple[Column, Column]:
+        return F.floor(code / PER_LONG).cast("int"), code % PER_LONG * COUNT_BITS
+
+    def count(of: dict[str, Column], code: Column) -> Column:
+        long, shift = place(code)
+        held = F.lit(0).cast("bigint")
+        for i, c in enumerate(counts):
+            held = F.when(long == i, of[c]).otherwise(held)
+        return F.call_function("shiftright", held, shift).bitwiseAND(F.lit((1 << COUNT_BITS) - 1)).cast("int")
+
+    def changed(of: dict[str, Column], code: Column, by: int) -> dict[str, Column]:
+        long, shift = place(code)
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift)
+        return {c: F.when(long == i, of[c] + by * one).otherwise(of[c]) for i, c in enumerate(counts)}
+
+    def term(c: Column) -> Column:
+        return F.get(terms, c).cast("bigint")
+
+    def leave(s: Column, x: Column) -> Column:
+        held = {c: s[c] for c in counts}
+        c = count(held, x["leave"])
+        left = changed(held, x["leave"], -1)
+        total = s["total"] + term(c - 1) - term(c)
+        gone = F.struct(*[left[c].alias(c) for c in counts], total.alias("total"), s["n"].alias("n"), s["least"].alias("least"))
+        return F.when(x["leave"] >= 0, gone).otherwise(s)
+
+    def enter(s: Column, x: Column) -> Column:
+        held = {c: s[c] for c in counts}
+        c = count(held, x["enter"])
+        more = changed(held, x["enter"], 1)
+        total = s["total"] + term(c + 1) - term(c)
+        least = F.when(s["n"] + 1 >= window, F.least(s["least"], total)).otherwise(s["least"])
         return F.struct(
-            put(counts, enter, e + 1).alias("counts"), total.alias("total"),
-            F.when(i >= window, F.least(s["least"], total)).otherwise(s["least"]).alias("least"),
+            *[more[c].alias(c) for c in counts], total.alias("total"), (s["n"] + 1).alias("n"), least.alias("least")
         )
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), start, advance, lambda s: s["least"])
+    codes = F.transform(F.split(candidate, ""), lambda ch: F.instr(F.lit(ALPHABET), ch))
+
+    def moves(code: Column) -> Column:
+        before = F.concat(F.array_repeat(F.lit(-1), window), code)
+        both = F.zip_with(code, before, lambda e, o: F.struct(e.alias("enter"), o.alias("leave")))
+        return F.slice(both, F.lit(1), F.size(code))
+
+    steps = bound(codes, moves)
+    found = F.aggregate(steps, start, lambda s, x: bound(leave(s, x), lambda t: enter(t, x)), lambda s: s["least"])
+    return F.when(F.length(candidate) >= window, found)
 
 
 def base_spans(text: Column) -> Column:
