@@ -16,7 +16,7 @@ import numpy as np
 from snapstrata.llm.words import _BYTE_VALUES, mix, powers
 
 #: Pieces handed to the tokenizer at once; its results are large objects.
-AT_ONCE = 1 << 11
+AT_ONCE = 1 << 9
 APART = "\x00"
 #: Distinct pieces that a worker remembers; beyond that it starts anew.
 REMEMBERED = 500_000
@@ -235,35 +235,38 @@ class PieceEncoder:
 
     def _learn(self, data, starts, sizes) -> int:
         """Encode pieces, remember their bytes and ids, and return the first of their entries."""
-        count, flat, spelt, sizes_of = len(self.begins) - 1, [self.flat], [self.spelt], [np.zeros(0, np.int64)]
+        count, flat, sizes_of = len(self.begins) - 1, [self.flat], [np.zeros(0, np.int64)]
+        ends = np.cumsum(sizes)
+        spelt = data[np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]))]
         for i in range(0, len(starts), AT_ONCE):
-            raw = [
-                data[s : s + n].tobytes()
-                for s, n in zip(starts[i : i + AT_ONCE].tolist(), sizes[i : i + AT_ONCE].tolist(), strict=True)
-            ]
-            found, lengths = self._ids_of(raw)
+            own = sizes[i : i + AT_ONCE]
+            begin = int(ends[i] - sizes[i])
+            found, lengths = self._ids_of(spelt[begin : begin + int(own.sum())], own)
             flat.append(found)
             sizes_of.append(lengths)
-            spelt.append(np.frombuffer(b"".join(raw), np.uint8))
         sizes_of = np.concatenate(sizes_of)
         self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes_of)))
         self.flat = np.concatenate(flat)
-        self.spelt = np.concatenate(spelt)
+        self.spelt = np.concatenate((self.spelt, spelt))
         self.spelt_at = np.concatenate((self.spelt_at, self.spelt_at[-1] + np.cumsum(sizes)))
         return count
 
-    def _ids_of(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces one after the other, and how many each has."""
-        if len(self.apart) == 1:
-            text = APART.join(r.decode("utf-8") for r in raw)
-            (encoding,) = self.joined.encode_batch_fast([text], add_special_tokens=False)
+    def _ids_of(self, spelt: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after the other, and how many each has; ``spelt`` are their bytes."""
+        if len(self.apart) == 1 and spelt.all():
+            # A byte of 0 between any two of them.
+            text = np.zeros(len(spelt) + len(sizes) - 1, np.uint8)
+            text[np.arange(len(spelt)) + np.repeat(np.arange(len(sizes)), sizes)] = spelt
+            (encoding,) = self.joined.encode_batch_fast([text.tobytes().decode("utf-8")], add_special_tokens=False)
             ids = np.array(encoding.ids, np.uint32)
             cuts = np.flatnonzero(ids == self.apart[0])
-            if len(cuts) == len(raw) - 1:
+            if len(cuts) == len(sizes) - 1:
                 lengths = np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1
                 return np.delete(ids, cuts), lengths
         # A piece holds the sign itself, or the vocabulary has no id of its own for it.
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode("utf-8") for r in raw], add_special_tokens=False)]
+        raw, ends = spelt.tobytes(), np.cumsum(sizes).tolist()
+        texts = [raw[e - n : e].decode("utf-8") for e, n in zip(ends, sizes.tolist(), strict=True)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter((i for x in found for i in x), np.uint32), np.array(list(map(len, found)), np.int64)
 
     def _spelt_alike(self, entry, data, starts, sizes) -> np.ndarray:

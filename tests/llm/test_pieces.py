@@ -57,6 +57,11 @@ def test_scripts_signs_and_blanks(seed):
     assert encoded(plain) == expected(plain)
 
 
+def test_pieces_that_hold_the_sign_between_pieces():
+    texts = ["a\x00b word \x00\x00 c", "\x00", "plain words", "x \x00"] * 3
+    assert encoded(texts) == expected(texts)
+
+
 def test_the_memory_of_pieces_is_bounded(monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED_BYTES", 100)
     encoder = PieceEncoder(tokenizer_path())
