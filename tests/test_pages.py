@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from snapstrata.functions.html import decode_entities, link_targets
 from snapstrata.operators import pages as P
 from snapstrata.schemas import BRONZE_FIELDS
+from workload.stats_pages import stats_pages
 
 COLOURS = [f"{i}.5" for i in range(11)]
 
@@ -154,3 +155,18 @@ def test_nested_tables_keep_their_rows_apart(parse):
     assert [(r.row_no, r.player) for r in rows] == [(0, "First"), (1, "Second"), (2, "Inner"), (3, "Third")]
     assert [r.first_deaths for r in rows] == ["", "5", "5", "5"]
     assert parse("</table>" + page(cells()) + "</table></table>")[0].player == "Ace"
+
+
+def test_pages_are_made_in_as_many_tasks_as_the_session_shuffles_to(spark, tmp_path):
+    lines = [(1, 1, 1, 1), (1, 2, 1, 2), (2, 1, None, 3), (2, 1, None, 3)]
+    rows = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+    rows.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    pages = stats_pages(spark, str(tmp_path))
+    assert pages.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r.l_suppkey for r in pages.collect()) == [1, 2, 3, 3]
+
+
+def test_cell_ends_and_classes_in_any_spelling(spark):
+    row = cells(close="</TD >").replace(' class="mod-rnd"', ' title="subclass = x" Class = "a mod-rnd"')
+    found = P.stats_page_rows(spark.createDataFrame([(page(row),)], "html string")).collect()
+    assert [(r.player, r.rounds_played, r.kills) for r in found] == [("Ace", "20", "1")]
