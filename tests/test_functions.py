@@ -9,6 +9,7 @@ from snapstrata.functions import messages as M
 from snapstrata.functions import numbers as N
 from snapstrata.functions import paths as P
 from snapstrata.functions import text as X
+from workload.text import fragments
 
 BASE = "https://stats.example.org"
 
@@ -155,3 +156,12 @@ def test_attribute_and_entities(one):
     values = ["<a data-href='no' href=\"/p/1?a=1&amp;b=2\">", "<a HREF='/q'>", "<a>"]
     assert one(lambda t: H.attribute(t, "href"), values) == ["/p/1?a=1&b=2", "/q", ""]
     assert one(H.cell_text, ["<b>1 &lt; 2</b>", "&amp;lt;", "x"]) == ["1 < 2", "&lt;", "x"]
+
+
+def test_fragments_lie_in_as_many_tasks_as_the_session_shuffles_to(spark, tmp_path):
+    orders = spark.createDataFrame([(11, 5, "1-URGENT"), (5, 7, "2-HIGH")], "o_orderkey long, o_custkey long, o_orderpriority string")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, "x")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = fragments(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r.id for r in found.collect()) == ["d1", "o11", "o5"]

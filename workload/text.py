@@ -47,11 +47,16 @@ URL = f"CASE WHEN text LIKE '/%' THEN '{BASE_URL}' || text ELSE coalesce(text, '
 SPAN = "CASE WHEN lower(text) = 'all' THEN 'all' ELSE text || 'd' END"
 
 
+def fragments(spark, sf_dir):
+    """All fragments, in as many tasks as the session shuffles to: a file of few bytes holds many of them."""
+    return run(spark, sf_dir, FRAGMENTS).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _register(name: str, expression: str, build) -> None:
     @query(name, f"{WITH_FRAGMENTS} SELECT id, {expression} AS value FROM fragments")
     def _(spark, sf_dir):
         value: Column = build(F.col("text"))
-        return run(spark, sf_dir, FRAGMENTS).select("id", value.alias("value"))
+        return fragments(spark, sf_dir).select("id", value.alias("value"))
 
 
 _register("asset_stem", STEM, X.asset_stem)
@@ -69,7 +74,7 @@ _register("normalize_image_url", IMAGE, lambda t: X.normalize_image_url(t, BASE_
     FROM fragments""",
 )
 def _(spark, sf_dir):
-    rows = run(spark, sf_dir, FRAGMENTS).withColumn("t", X.whitespace_tokens(F.col("text")))
+    rows = fragments(spark, sf_dir).withColumn("t", X.whitespace_tokens(F.col("text")))
     return rows.select(
         "id",
         X.token_or_default(F.col("t"), 0, "").alias("name"),
@@ -97,7 +102,7 @@ def _(spark, sf_dir):
     {IMAGE} AS image_url, {URL} AS url FROM fragments""",
 )
 def _(spark, sf_dir):
-    return extract_fields(run(spark, sf_dir, FRAGMENTS), BASE_URL)
+    return extract_fields(fragments(spark, sf_dir), BASE_URL)
 
 
 # What the links of ``spelt_pages`` are, told from the pages as they were before.
