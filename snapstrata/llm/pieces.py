@@ -117,14 +117,15 @@ class PieceEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.tokenizer = Tokenizer.from_file(path)
+        # A vocabulary takes some 25 MB in each worker, so all three read the same one.
+        self.tokenizer, self.joined = Tokenizer(self.library.model), Tokenizer(self.library.model)
+        self.tokenizer.normalizer = self.joined.normalizer = self.library.normalizer
         bytes_only = ByteLevel(add_prefix_space=False, use_regex=False)
         self.tokenizer.pre_tokenizer = bytes_only
         # Many pieces in one text, set apart by a sign that none of them holds: one result for all of them.
-        self.joined = Tokenizer.from_file(path)
         self.joined.pre_tokenizer = Sequence([Split(APART, "isolated"), bytes_only])
         self.apart = self.joined.encode(APART, add_special_tokens=False).ids
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.wide = self.library.get_vocab_size() > 1 << 16
         self.kinds, self.unassigned = _kinds()
         self.forget()
 

@@ -17,8 +17,9 @@ from snapstrata.llm.words import text_chunks
 #: A block takes whole documents until it holds so many ids; a longer document is one block.
 BLOCK_TOKENS = 1 << 17
 END_ID = 2
+#: Bytes of text encoded at once; arrays of eight bytes for each byte of text stand beside them.
+TEXT_BYTES = 1 << 19
 
-TOKENS = "part int, doc_id long, begin long, n_tokens long, ids binary"
 BLOCKS = (
     "part int, begin long, n long, lanes int, doc_ids array<bigint>, sizes array<bigint>, "
     "states binary, offsets array<bigint>, stream binary, checksum long"
@@ -31,7 +32,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
     def run(batches):
         encoder = PieceEncoder.shared(tokenizer)
         for batch in batches:
-            for first, data, offsets in text_chunks(batch.column("text")):
+            for first, data, offsets in text_chunks(batch.column("text"), TEXT_BYTES):
                 tokens, sizes = encoder.encode(data, offsets, end_id)
                 kind, width = ("<u4", 4) if encoder.wide else ("<u2", 2)
                 ends = np.concatenate(([0], np.cumsum(sizes))) * width
@@ -48,28 +49,13 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
 
 
 def in_order(tokens: DataFrame) -> DataFrame:
-    """``(part, doc_id, begin, n_tokens, ids)`` in ascending id order; what is sorted are ids, not texts.
+    """``tokens`` in ascending id order, each task holding a range of ids; what is sorted are ids, not texts.
 
-    Parts are ranges of document ids; ``begin`` counts the ids before a document within its
-    part. Rows with a null id come first; rows that share an id, however many, go by a hash of
+    Rows with a null id come first; rows that share an id, however many, go by a hash of
     their ids and then by the ids.
     """
     keyed = tokens.withColumn("key", F.xxhash64("ids"))
-    ordered = keyed.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key", "ids").drop("key")
-
-    def run(batches):
-        part, begin = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            sizes = batch.column("n_tokens").to_numpy()
-            ends = begin + np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(sizes), part, np.int32)), batch.column("doc_id"), pa.array(ends - sizes),
-                 batch.column("n_tokens"), batch.column("ids")],
-                ["part", "doc_id", "begin", "n_tokens", "ids"],
-            )
-            begin = int(ends[-1]) if len(ends) else begin
-
-    return ordered.mapInArrow(run, TOKENS)
+    return keyed.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key", "ids").drop("key")
 
 
 def _ids(raw: bytes | memoryview, n: int) -> np.ndarray:
@@ -108,40 +94,43 @@ def _table(frequencies: DataFrame) -> FrequencyTable:
     return FrequencyTable.of(dense)
 
 
-def _blocks(tokens: DataFrame, table: FrequencyTable) -> DataFrame:
-    shared = tokens.sparkSession.sparkContext.broadcast(table)
+def _blocks(ordered: DataFrame, table: FrequencyTable) -> DataFrame:
+    """Coded blocks of sorted documents; a task's rows are a part, and ``begin`` counts the ids before within it.
+
+    Places are counted by the worker that codes: a step of their own would need a second worker
+    in each task, which stays afterwards with all that it comes to hold.
+    """
+    shared = ordered.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        table = shared.value
-        held: list[tuple] = []
+        table, part = shared.value, TaskContext.get().partitionId()
+        docs, sizes, ids, begin, held = [], [], [], 0, 0
 
         def flush():
-            symbols = np.concatenate([h[4] for h in held])
-            block = encode_block(symbols, table)
+            block = encode_block(np.concatenate(ids), table)
             row = [
-                [held[0][0]], [held[0][2]], [block.n], [block.lanes], [[h[1] for h in held]],
-                [[h[3] for h in held]], [block.states], [block.offsets], [block.stream], [block.checksum()],
+                [part], [begin], [block.n], [block.lanes], [list(docs)], [list(sizes)], [block.states],
+                [block.offsets], [block.stream], [block.checksum()],
             ]
-            held.clear()
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()),
                      pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.int64()]
             names = [x.split(" ")[0] for x in BLOCKS.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds, strict=True)], names)
 
-        size = 0
         for batch in batches:
-            columns = [batch.column(c) for c in ("part", "doc_id", "begin", "n_tokens", "ids")]
-            for part, doc, start, n, raw in zip(*columns, strict=True):
-                start, n = start.as_py(), n.as_py()
-                if held and (size >= BLOCK_TOKENS or held[0][0] != part.as_py() or held[-1][2] + held[-1][3] != start):
+            columns = [batch.column(c) for c in ("doc_id", "n_tokens", "ids")]
+            for doc, n, raw in zip(*columns, strict=True):
+                if held >= BLOCK_TOKENS:
                     yield flush()
-                    size = 0
-                held.append((part.as_py(), doc.as_py(), start, n, _ids(raw.as_py(), n)))
-                size += n
-        if held:
+                    docs, sizes, ids, begin, held = [], [], [], begin + held, 0
+                docs.append(doc.as_py())
+                sizes.append(n.as_py())
+                ids.append(_ids(raw.as_py(), sizes[-1]))
+                held += sizes[-1]
+        if docs:
             yield flush()
 
-    return tokens.select("part", "doc_id", "begin", "n_tokens", "ids").mapInArrow(run, BLOCKS)
+    return ordered.select("doc_id", "n_tokens", "ids").mapInArrow(run, BLOCKS)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:

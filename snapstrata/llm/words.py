@@ -47,8 +47,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, bytes and offsets of slices of about ``CHUNK_BYTES``; null is empty.
+def text_chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, bytes and offsets of slices of about ``size`` bytes; null is empty.
 
     A slice holds at least one row, so a text is never cut.
     """
@@ -60,7 +60,7 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        end = int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
         end = max(row + 1, min(end, len(column)))
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end

@@ -3,13 +3,16 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import tokenizers
 from tokenizers import Tokenizer
 
 from snapstrata.llm import pieces, tokenfile
 from snapstrata.llm.pieces import PieceEncoder
 from snapstrata.llm.queries import tokenizer_path
-from snapstrata.llm.words import BLANK_SEPARATED, hash_words
+from snapstrata.llm.rans import FrequencyTable
+from snapstrata.llm.words import BLANK_SEPARATED, hash_words, text_chunks
 
 
 def encoded(texts):
@@ -94,3 +97,48 @@ def test_rows_that_share_an_id_go_by_their_ids(spark, tmp_path):
     ids = [r[1] for r in found[0]]
     assert ids == sorted(ids)
     assert [r[0] for r in found[0]] == [0, *np.cumsum([r[2] for r in found[0]])[:-1].tolist()]
+
+
+def test_one_worker_a_task_makes_the_blocks(spark, capsys):
+    """Two Python steps in one stage would leave twice as many workers on each executor."""
+    tokens = spark.createDataFrame([(1, 2, bytes(4)), (None, 1, bytes(2))], "doc_id long, n_tokens long, ids binary")
+    tokenfile._blocks(tokenfile.in_order(tokens), FrequencyTable.of(np.array([1 << 20]))).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
+def test_a_worker_reads_the_vocabulary_once(monkeypatch):
+    class Counting:
+        files = 0
+
+        def __call__(self, model):
+            return Tokenizer(model)
+
+        def from_file(self, path):
+            self.files += 1
+            return Tokenizer.from_file(path)
+
+    counting = Counting()
+    monkeypatch.setattr(tokenizers, "Tokenizer", counting)
+    PieceEncoder(tokenizer_path())
+    assert counting.files == 1
+
+
+def test_texts_are_encoded_in_bounded_slices():
+    texts = ["word " * n for n in range(0, 3000, 7)] + [None, "x" * (2 * tokenfile.TEXT_BYTES), ""]
+    slices = list(text_chunks(pa.array(texts), tokenfile.TEXT_BYTES))
+    assert b"".join(data.tobytes() for _, data, _ in slices) == "".join(t or "" for t in texts).encode()
+    assert [first for first, _, _ in slices] == [0, *np.cumsum([len(o) - 1 for _, _, o in slices])[:-1].tolist()]
+    assert all(len(data) <= tokenfile.TEXT_BYTES or len(offsets) == 2 for _, data, offsets in slices)
+
+
+def test_documents_of_many_blocks_keep_their_places(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokenfile, "BLOCK_TOKENS", 50)
+    texts = {i: f"word {i} " * (i % 40) for i in range(200)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    path = f"file://{tmp_path}/tokens"
+    tokenfile.write_token_files(docs, path, tokenizer_path())
+    assert spark.read.parquet(f"{path}/blocks").count() > 20
+    got = sorted(tokenfile.read_token_files(spark, path).collect(), key=lambda r: r.doc_id)
+    ids = expected(texts.values())
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == ids
+    assert [r.start for r in got] == [0, *np.cumsum(list(map(len, ids)))[:-1].tolist()]
