@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from snapstrata.llm.common import stored
 from snapstrata.llm.words import ALPHANUMERIC, hash_words, mix, text_chunks
+from snapstrata.session import scratch_dir
+from snapstrata.sources.folders import remove
 
 #: Fixed masks: a seed hashes the words under 1 and ignores those under 0. Every overlap
 #: that counts has a place where one of them meets equal words only: overlaps shrink to
@@ -82,7 +84,7 @@ def _item_seeds(batches):
         )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, hits_path: str | None = None) -> DataFrame:
     """Overlaps ``(doc_id, item_id, first_word, n_words, n_equal, item_words)``.
 
     One row per document and item whose words (letters and digits, ASCII case
@@ -96,7 +98,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Documents are read once. A bit filter of fixed size over the benchmark's seeds
     keeps almost all places from leaving the tasks; what passes is joined with the
-    seeds by hash, whatever the size of the benchmark.
+    seeds by hash, whatever the size of the benchmark. The words of documents that hold
+    a seed are stored, in ``hits_path`` if it is given, and read when the result is.
     """
     items = stored(
         benchmark.select("item_id", "text").dropDuplicates().mapInArrow(
@@ -154,7 +157,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     # Equal texts under one id are one document here.
     hit_docs = hit_docs.withColumn("doc_key", F.xxhash64("doc_id", "words"))
-    hit_docs = stored(hit_docs, "leak-hits")
+    hit_docs = stored(hit_docs, "leak-hits", hits_path)
     hits = hit_docs.select("doc_key", F.explode("hits").alias("h")).select(
         "doc_key", F.col("h.seed").alias("seed"), F.col("h.at").alias("doc_at")
     )
@@ -227,5 +230,8 @@ def _overlaps(batches):
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item; rows without an id stay."""
-    leaked = stored(contaminated(docs, benchmark).select("doc_id").distinct(), "leaks")
+    hits_path = scratch_dir(docs.sparkSession, "leak-hits")
+    leaked = stored(contaminated(docs, benchmark, hits_path).select("doc_id").distinct(), "leaks")
+    # Only the ids are read from here on.
+    remove(docs.sparkSession, hits_path)
     return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)

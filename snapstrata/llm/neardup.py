@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from snapstrata.llm.common import stored
 from snapstrata.llm.components import connected_components
 from snapstrata.llm.words import ALPHANUMERIC, BLANK_SEPARATED, hash_words, mix, shingles, text_chunks
+from snapstrata.session import scratch_dir
+from snapstrata.sources.folders import remove
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -209,13 +211,16 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     to repeated rows; texts that share an id share its class. Rows without an id have
     a null class unless they copy a text that has one. An empty table gives no rows.
     """
+    spark = docs.sparkSession
+    profile_path = scratch_dir(spark, "near-profile")
     profile = stored(
         docs.select("doc_id", "text").mapInArrow(
             _profile,
             "doc_id long, print binary, sketches array<bigint>, words binary, size bigint, bits array<bigint>",
         ),
-        "near-profile",
+        "near-profile", profile_path,
     )
+    rows = stored(profile.select("doc_id", "print"), "near-rows")
     prints = profile.groupBy("print").agg(F.min("doc_id").alias("rep"))
     prints = stored(prints, "near-prints")
     reps = prints.where(F.col("rep").isNotNull())
@@ -232,6 +237,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
         .dropDuplicates(["rep"]),
         "near-words",
     )
+    # What is read from here on are the rows' prints and the groups and words of candidates.
+    remove(spark, profile_path)
     classes = stored(
         largest.join(words, "rep")
         .select("rep", F.col("rep").alias("component"), (share * F.col("n")).alias("place"), "size", "bits"),
@@ -272,7 +279,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
         asked, led = groups, bound
         bound = LEADERS if bound == 0 else bound * GROWTH
     whole = prints.join(classes, "rep", "left").select("print", "rep", F.coalesce("component", "rep").alias("class_id"))
-    return profile.select("doc_id", "print").join(whole, "print").select(
+    return rows.join(whole, "print").select(
         "doc_id", "class_id", F.col("rep").alias("copy_of")
     )
 

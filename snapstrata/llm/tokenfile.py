@@ -13,6 +13,8 @@ from snapstrata.llm.common import shuffle_cleanup, stored
 from snapstrata.llm.pieces import PieceEncoder
 from snapstrata.llm.rans import Block, FrequencyTable, decode_block, encode_block, scaled_frequencies
 from snapstrata.llm.words import text_chunks
+from snapstrata.session import scratch_dir
+from snapstrata.sources.folders import remove
 
 #: A block takes whole documents until it holds so many ids; a longer document is one block.
 BLOCK_TOKENS = 1 << 17
@@ -142,17 +144,19 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     count all ids of all documents. A null or empty text is its end id alone; an empty table
     gives empty files.
     """
-    tokens = stored(tokenize(docs, tokenizer, end_id), "token-ids")
+    spark = docs.sparkSession
+    tokens_path = scratch_dir(spark, "token-ids")
+    tokens = stored(tokenize(docs, tokenizer, end_id), "token-ids", tokens_path)
     counted = id_counts(tokens).toArrow()
     ids = counted.column("id").to_numpy()
     dense = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
     dense[ids] = counted.column("n").to_numpy()
     freq = scaled_frequencies(dense)
-    spark = docs.sparkSession
     rows = pa.table({"id": pa.array(np.flatnonzero(freq).astype(np.int32)), "freq": pa.array(freq[freq > 0])})
     with shuffle_cleanup(spark):
         spark.createDataFrame(rows).coalesce(1).write.parquet(f"{path}/table")
         _blocks(in_order(tokens), FrequencyTable.of(freq)).write.parquet(f"{path}/blocks")
+    remove(spark, tokens_path)
 
 
 class DamagedBlock(ValueError):
