@@ -170,3 +170,30 @@ def test_cell_ends_and_classes_in_any_spelling(spark):
     row = cells(close="</TD >").replace(' class="mod-rnd"', ' title="subclass = x" Class = "a mod-rnd"')
     found = P.stats_page_rows(spark.createDataFrame([(page(row),)], "html string")).collect()
     assert [(r.player, r.rounds_played, r.kills) for r in found] == [("Ace", "20", "1")]
+
+
+def plan(rows):
+    rows.sparkSession.conf.set("spark.sql.maxPlanStringLength", "1000000")
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cells_are_cut_for_the_whole_row_at_once(spark):
+    pages = spark.createDataFrame([(1, page(cells()))], "page_id int, html string").withColumn("html", F.upper("html"))
+    found = plan(P.page_table_rows(pages))
+    assert "substring_index" not in found and found.count("regexp_extract_all") == 4
+
+
+def test_cells_of_odd_rows(spark):
+    html = (
+        "<table><tr><td>a <<<< b<<<</a></TD ></td><td class='x\ty'>c</td foo>d</td><td title=\"1 > 0\" class = 'q\x1ep'>e"
+        "<td <td class=\"z\"></td><td></tr\n>gone<TR>none</table><tr><td>outside</td></tr>"
+    )
+    pages = spark.createDataFrame([(1, html), (2, None), (3, ""), (4, "<!-- <table><tr><td> -->")], "page_id int, html string")
+    rows = P.page_table_rows(pages).orderBy("page_id", "row_no").collect()
+    assert [(r.page_id, r.row_no, [tuple(c) for c in r.cells]) for r in rows] == [
+        (1, 0, [("  ", "a <<<< b<<<</a>"), (" x y ", "c</td foo>d"), (" q\x1ep ", "e"), (" z ", ""), ("  ", "")]),
+        (1, 1, []),
+    ]
+    html = "<table><!-- a --><tr><td>1<table>x<tr><td>2<!-- b --></td></table>3</td></tr></table><tr><<!-- c -->td>4"
+    rows = P.page_table_rows(spark.createDataFrame([(html,)], "html string")).orderBy("row_no").collect()
+    assert [[c.body for c in r.cells] for r in rows] == [["13"], ["2"]]
