@@ -177,6 +177,13 @@ def plan(rows):
     return rows._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_row_is_searched_once_for_each_of_its_cells(spark):
+    pages = spark.createDataFrame([(1, page(cells()))], "page_id int, html string").withColumn("html", F.upper("html"))
+    found = plan(P.stats_page_rows(pages))
+    # Once to see that the cell is there, once for what it holds.
+    assert found.count(" mod-rnd ") == found.count(" mod-cl ") == found.count(" mod-kmax ") == 2
+
+
 def test_cells_are_cut_for_the_whole_row_at_once(spark):
     pages = spark.createDataFrame([(1, page(cells()))], "page_id int, html string").withColumn("html", F.upper("html"))
     found = plan(P.page_table_rows(pages))
