@@ -89,3 +89,9 @@ def test_pages_to_ledger_to_audit(spark, tmp_path, caplog):
 def test_no_ledger_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="no ledger"):
         audit_job.refresh_audit(spark, str(tmp_path / "none"), str(tmp_path / "i"), str(tmp_path), str(tmp_path / "r"), DAY)
+
+
+def test_messages_do_not_read_the_pages_again(spark, tmp_path):
+    done = ingest_job.ingest_pages(pages(spark), map_dimension(spark), str(tmp_path / "bronze"))
+    assert "html" not in done.messages._jdf.queryExecution().optimizedPlan().toString()
+    assert done.messages.count() == 7
