@@ -173,7 +173,6 @@ def test_cell_ends_and_classes_in_any_spelling(spark):
 
 
 def plan(rows):
-    rows.sparkSession.conf.set("spark.sql.maxPlanStringLength", "1000000")
     return rows._jdf.queryExecution().optimizedPlan().toString()
 
 
